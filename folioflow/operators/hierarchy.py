@@ -126,12 +126,10 @@ def node_table(links: DataFrame) -> DataFrame:
     clean = links.filter("tree is not null and document_id is not null and node is not null and node <> ''").withColumn("parent", F.expr("nullif(parent, '')"))
     named = clean.filter("parent is not null").select("tree", "document_id", F.col("parent").alias("node"), F.lit(None).cast("string").alias("parent"), F.lit(False).alias("present"), F.lit(True).alias("named"))
     both = clean.select("tree", "document_id", "node", "parent", "present", F.lit(False).alias("named")).unionByName(named)
-    both = both.withColumn("part", _fragment_key(0))
-    parts = int(both.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # partitioned by the fragment, which also clusters the finer grouping key: one shuffle for both
-    both = both.repartition(parts, "tree", "document_id", "part")
-    grouped = both.groupBy("tree", "document_id", "part", "node").agg(F.min("parent").alias("parent"), F.max("present").alias("present"), F.max("named").alias("named"))
-    return grouped.filter("parent is not null or named")
+    # a partial sum first, so that a parent with very many children is one row a task, then the fragments
+    grouped = both.groupBy("tree", "document_id", "node").agg(F.min("parent").alias("parent"), F.max("present").alias("present"), F.max("named").alias("named"))
+    grouped = grouped.filter("parent is not null or named").withColumn("part", _fragment_key(0))
+    return grouped.repartition("tree", "document_id", "part")
 
 
 def _level(nodes: DataFrame, level: int, single: bool) -> DataFrame:
