@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioflow.llm import components
+from folioflow.llm import components, leakage
 from folioflow.session import table
 
 
@@ -13,7 +13,12 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return components.block_groups(table(spark, sf, "blocks"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found,)}
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents with the evaluation items that they leak."""
+    return leakage.leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p7_found)}
 
 _P3_FOUND = """
 WITH RECURSIVE rows AS (
