@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioflow.llm import components, leakage
+from folioflow.llm import components, leakage, stuffing
 from folioflow.session import table
 
 
@@ -18,7 +18,12 @@ def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     return leakage.leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p7_found)}
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents that are mostly repeated keywords, links or product tags."""
+    return stuffing.stuffed_pages(table(spark, sf, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p7_found, p8_found)}
 
 _P3_FOUND = """
 WITH RECURSIVE rows AS (
