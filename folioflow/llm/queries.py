@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioflow.llm import components, leakage, stuffing
+from folioflow.llm import components, leakage, packing, stuffing
 from folioflow.session import table
 
 
@@ -13,6 +13,16 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return components.block_groups(table(spark, sf, "blocks"))
 
 
+def p6_packed(spark: SparkSession, sf: str) -> DataFrame:
+    """Every text in a container of each budget; texts above the capacity in pieces."""
+    return packing.packed(table(spark, sf, "documents"), table(spark, sf, "pack_budgets"))
+
+
+def p6_unused_room(spark: SparkSession, sf: str) -> DataFrame:
+    """Containers and unused share of the packing, per budget."""
+    return packing.fill_report(p6_packed(spark, sf), table(spark, sf, "pack_budgets"))
+
+
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     """Documents with the evaluation items that they leak."""
     return leakage.leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
@@ -23,7 +33,7 @@ def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     return stuffing.stuffed_pages(table(spark, sf, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p7_found, p8_found)}
+QUERIES = {f.__name__: f for f in (p3_found, p6_packed, p6_unused_room, p7_found, p8_found)}
 
 _P3_FOUND = """
 WITH RECURSIVE rows AS (

@@ -154,7 +154,7 @@ def usual(measured: DataFrame) -> DataFrame:
 
 def stuffed(measured: DataFrame) -> DataFrame:
     """doc_id and spam_share of the documents that are mostly stuffing."""
-    m = measured.join(F.broadcast(usual(measured).limit(1000)), "language", "left").fillna(0.0)
+    m = measured.join(usual(measured), "language", "left").fillna(0.0)
     repeats = F.col("pool_repeats") >= F.greatest(F.lit(0.5), F.least(F.lit(0.7), F.col("repeats_usual") + 0.2))
     repeats = (repeats & (F.col("pool_top") >= 0.25)) | ((F.col("pool_ngrams") >= 0.5) & (F.col("pool_repeats") >= 0.5))
     pool = F.when(repeats & (F.col("pool_words") >= LEAST_WORDS), F.col("pool_share")).otherwise(0.0)
