@@ -4,10 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioflow.llm import components, leakage, packing, stuffing
+from folioflow.llm import components, leakage, packing, scan_repair, stuffing
 from folioflow.session import table
 
 
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Every damage of scanned text and formulas, with its repair."""
+    return scan_repair.damages(*(table(spark, sf, t) for t in ("raw_blocks", "blocks", "pages")))
+
+
+def p2_clean_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Scanned blocks as continuous paragraphs and formulas."""
+    return scan_repair.clean_texts(*(table(spark, sf, t) for t in ("raw_blocks", "blocks", "pages")))
+
+
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     """One group id for all fragments that are linked directly or indirectly."""
     return components.block_groups(table(spark, sf, "blocks"))
@@ -33,7 +43,7 @@ def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     return stuffing.stuffed_pages(table(spark, sf, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p6_packed, p6_unused_room, p7_found, p8_found)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_clean_texts, p3_found, p6_packed, p6_unused_room, p7_found, p8_found)}
 
 _P3_FOUND = """
 WITH RECURSIVE rows AS (
