@@ -558,7 +558,7 @@ def close_cuts(found: DataFrame, rows: DataFrame, known: DataFrame) -> DataFrame
 
 def repairs(raw_blocks: DataFrame, blocks: DataFrame, pages: DataFrame, with_text: bool = False) -> DataFrame:
     """raw_id, raw_field, kind and repaired of every damage; with_text adds the repaired paragraphs and formulas."""
-    rows = scanned_rows(raw_blocks, pages)
+    rows = stage(scanned_rows(raw_blocks, pages), "scanned")
     known = stage(lexicon(blocks, rows), "lexicon")
     unknown = stage(unknown_forms(rows, known), "unknown")
     forms = unknown.groupBy("form").agg(F.sum("n").alias("n"))
