@@ -117,7 +117,7 @@ def orphans(refs: DataFrame, keys: DataFrame) -> DataFrame:
     # the labels of raw_blocks never count as late: their records carry no first_row
     return hit.select(
         "ref_table", "ref_field", "document_id", "ref_key", "target_key", F.coalesce("state", F.lit("late")).alias("reason"),
-        F.coalesce(F.date_format("ref_at", "yyyy-MM"), F.lit("")).alias("ref_month"),
+        F.coalesce(F.date_format(F.to_utc_timestamp("ref_at", F.current_timezone()), "yyyy-MM"), F.lit("")).alias("ref_month"),
     ).distinct()
 
 

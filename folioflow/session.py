@@ -21,9 +21,7 @@ def build_session(name: str = "folioflow", master: str | None = None, **conf: st
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.ansi.enabled": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
         "spark.ui.enabled": "false",
     }
     for key, value in {**defaults, **conf}.items():
