@@ -50,6 +50,9 @@ FEW_WORDS = 12
 LEAST_WORDS = 20
 LEAST_LINKS = 3
 SPAM_SHARE = 0.5
+LACKING = 0.65
+#: prose has at least so many function words, however many pages of a language are stuffed
+LEAST_USUAL = 0.35
 CLEAR_SHARE = 0.75
 
 _MASK: dict[str, int] = {}
@@ -159,7 +162,7 @@ def stuffed(measured: DataFrame) -> DataFrame:
     repeats = (repeats & (F.col("pool_top") >= 0.25)) | ((F.col("pool_ngrams") >= 0.5) & (F.col("pool_repeats") >= 0.5))
     pool = F.when(repeats & (F.col("pool_words") >= LEAST_WORDS), F.col("pool_share")).otherwise(0.0)
     links = F.when(F.col("n_links") >= LEAST_LINKS, F.col("link_share")).otherwise(0.0)
-    lacking = F.col("function_share") <= F.greatest(F.lit(0.5) * F.col("function_usual"), F.lit(PROSE_SHARE))
+    lacking = F.col("function_share") <= F.lit(LACKING) * F.greatest(F.col("function_usual"), F.lit(LEAST_USUAL))
     m = m.withColumn("spam_share", pool + links + F.col("list_share"))
     big = (F.col("words") >= LEAST_WORDS) | (F.col("n_links") >= LEAST_LINKS)
     return m.filter(big & (lacking | (F.col("spam_share") >= CLEAR_SHARE)) & (F.col("spam_share") >= SPAM_SHARE)).select("doc_id", "spam_share")
