@@ -8,6 +8,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from folioflow.functions import text as X
 from folioflow.operators.nested import read_payload
@@ -72,7 +73,7 @@ def routing_summary(routes: DataFrame) -> DataFrame:
     return s.select("document_id", "n_pages", "n_text_layer", born.alias("born_digital"), ((F.col("n_text_layer") > 0) & ~born).alias("mixed"), F.when(born, "layout").otherwise("vision").alias("parser"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def payload_status(payloads: pd.Series) -> pd.Series:
     """'ok', 'empty' or 'failed' of what a provider returned."""
 
