@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -11,12 +12,14 @@ from pyspark.sql import functions as F
 
 from folioflow.functions import text as T
 from folioflow.operators import ordering
+from folioflow.session import stage
 
 K1, B = 1.5, 0.75
 STOP_TYPES = ("question", "worked_example")
 SKIP_TYPES = ("figure", "image", "diagram", "caption", "noise", "banner")
 SCAN, RUN, CONTAINER_RUN = 14, 5, 8
 QUERY_BLOCK = 4096
+BM25_BLOCK = 1024
 
 
 def term_statistics(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -29,27 +32,70 @@ def corpus_size(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.size(T.tokens(text)).alias("n")).agg(F.count(F.lit(1)).alias("n_docs"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_tokens"), F.avg("n").alias("avg_length"))
 
 
-def bm25_topk(queries: DataFrame, query_key: str, query_text: str, docs: DataFrame, key: str, text: str, k: int = 8) -> DataFrame:
-    """query_key, key, score, share of the best score, and rank of each query's k best documents.
+def _bm25_scores(ids: list[int], vocabulary: dict[str, int], weights: np.ndarray, mean: float, key: str, k: int):
+    schema = pa.schema([("query_id", pa.int64()), (key, pa.int64()), ("score", pa.float64())])
 
-    Documents are read once and cut to the tokens that some query has before
-    anything is grouped; a token that comes twice in a query counts twice.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, scores = [], []
+            for doc, tokens in zip(batch.column(key).to_pylist(), batch.column("_t").to_pylist()):
+                counts: dict[int, int] = {}
+                for t in tokens or ():
+                    at = vocabulary.get(t)
+                    if at is not None:
+                        counts[at] = counts.get(at, 0) + 1
+                if counts:
+                    tf = np.fromiter(counts.values(), np.float64, len(counts))
+                    own.append(doc)
+                    scores.append((tf / (tf + K1 * (1 - B + B * len(tokens) / mean))) @ weights[list(counts)])
+            if not own:
+                continue
+            table, docs, out = np.array(scores), np.array(own, np.int64), []
+            for q, column in zip(ids, table.T):
+                near = np.flatnonzero(column > 0)
+                if len(near) > k:
+                    near = near[column[near] >= np.partition(column[near], -k)[-k] - 1e-9]
+                out += zip([q] * len(near), docs[near].tolist(), column[near].tolist())
+            for at in range(0, len(out), 50_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out[at:at + 50_000]), schema)], schema=schema)
+
+    return run
+
+
+def bm25_topk(queries: DataFrame, query_key: str, query_text: str, docs: DataFrame, key: str, text: str, k: int = 8, block: int = BM25_BLOCK) -> DataFrame:
+    """query_key, key, score, share of the best score, and rank of each query's k best documents; both keys are numbers.
+
+    Frequencies of the queries' tokens are counted over all documents first. Then
+    queries come in blocks of bounded size, each of which sees every document once;
+    a batch of documents passes on only its own k best per query, so what is
+    shuffled doesn't grow with the number of hits. A token that comes twice in a
+    query counts twice.
     """
-    terms = queries.select(query_key, F.explode(T.tokens(query_text)).alias("token")).groupBy(query_key, "token").agg(F.count(F.lit(1)).alias("times"))
+    terms = queries.filter(F.col(query_key).isNotNull()).select(F.col(query_key).cast("bigint").alias("q"), F.explode(T.tokens(query_text)).alias("token")).groupBy("q", "token").agg(F.count(F.lit(1)).alias("times"))
+    rows = docs.filter(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias(key), T.tokens(text).alias("_t"))
     vocabulary = terms.select("token").distinct()
-    size = corpus_size(docs, key, text)
-    length = docs.select(key, T.tokens(text).alias("_t")).withColumn("_n", F.size("_t"))
-    tf = length.select(key, "_n", F.explode("_t").alias("token")).join(vocabulary, "token", "left_semi").groupBy(key, "_n", "token").agg(F.count(F.lit(1)).alias("tf"))
-    df = tf.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    # one row of corpus statistics
-    weighted = terms.join(df, "token").join(F.broadcast(size))
-    idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weighted = weighted.select(query_key, "token", (F.col("times") * idf * (K1 + 1)).alias("w"), "avg_length")
-    hits = tf.join(weighted, "token").select(query_key, key, (F.col("w") * F.col("tf") / (F.col("tf") + K1 * (1 - B + B * F.col("_n") / F.col("avg_length")))).alias("s"))
-    scored = hits.groupBy(query_key, key).agg(F.sum("s").alias("score"))
-    best = Window.partitionBy(query_key).orderBy(F.round("score", 9).desc(), key)
+    df = rows.select(F.explode(F.array_distinct("_t")).alias("token")).join(vocabulary, "token", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    size = corpus_size(docs, key, text).first()
+    idf = F.log(1 + (F.lit(float(size["n_docs"])) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weighted = terms.join(df, "token").select("q", "token", (F.col("times") * idf * (K1 + 1)).alias("w"))
+    n = queries.count()
+    blocks, parts = max(1, -(-n // block)), []
+    for b in range(blocks):
+        w = weighted.filter(F.pmod(F.xxhash64("q"), F.lit(blocks)) == b).collect()
+        if not w:
+            continue
+        ids, words = sorted({r["q"] for r in w}), {t: i for i, t in enumerate(sorted({r["token"] for r in w}))}
+        at = {q: i for i, q in enumerate(ids)}
+        matrix = np.zeros((len(words), len(ids)))
+        for r in w:
+            matrix[words[r["token"]], at[r["q"]]] = r["w"]
+        parts.append(rows.mapInArrow(_bm25_scores(ids, words, matrix, float(size["avg_length"]), key, k), f"query_id bigint, {key} bigint, score double"))
+    if not parts:
+        return docs.limit(0).select(F.lit(0).cast("bigint").alias(query_key), F.col(key).cast("bigint").alias(key), F.lit(0.0).alias("score"), F.lit(0.0).alias("share"), F.lit(0).alias("rank"))
+    scored = reduce(DataFrame.unionByName, parts)
+    best = Window.partitionBy("query_id").orderBy(F.round("score", 9).desc(), key)
     top = scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-    return top.select(query_key, key, "score", (F.col("score") / F.max("score").over(Window.partitionBy(query_key))).alias("share"), F.col("rank").cast("int").alias("rank"))
+    return top.select(F.col("query_id").alias(query_key), key, "score", (F.col("score") / F.max("score").over(Window.partitionBy("query_id"))).alias("share"), F.col("rank").cast("int").alias("rank"))
 
 
 def _nearest(ids: list[int], matrix: np.ndarray, k: int):
@@ -89,9 +135,7 @@ def cosine_topk(queries: DataFrame, vectors: DataFrame, k: int = 8, block: int =
             parts.append(vectors.select(F.col("vec_id").cast("bigint"), "embedding").mapInArrow(_nearest([r[0] for r in rows], np.array([r[1] for r in rows], np.float64), k), "query_id bigint, vec_id bigint, similarity double"))
     if not parts:
         return vectors.limit(0).select(F.lit(0).cast("bigint").alias("query_id"), F.col("vec_id").cast("bigint"), F.lit(0.0).alias("similarity"), F.lit(0).alias("rank"))
-    near = parts[0]
-    for p in parts[1:]:
-        near = near.unionByName(p)
+    near = reduce(DataFrame.unionByName, parts)
     best = Window.partitionBy("query_id").orderBy(F.round("similarity", 9).desc(), "vec_id")
     return near.withColumn("rank", F.row_number().over(best).cast("int")).filter(F.col("rank") <= k)
 
@@ -151,9 +195,11 @@ def structural_candidates(leaves: DataFrame, blocks: DataFrame, edges: DataFrame
     Of one block's relationships the strongest counts, the first in order of
     source among equals. Blocks without a section share none.
     """
-    placed = ordering.running(blocks, ["document_id"], "reading_order", {"n": F.lit(1)})
+    # both are read by several branches: written once instead of being windowed and joined again in each
+    placed = stage(ordering.running(blocks, ["document_id"], "reading_order", {"n": F.lit(1)}), "placed")
     eligible = blocks.filter(F.col("block_type").isin(*T.ANSWER_TYPES)).select("document_id", "block_id", "part_of_id", "section_id", "text", "enumerator", "continues_to")
     q = leaves.join(placed.select("document_id", "block_id", "n", F.col("part_of_id").alias("q_part"), F.col("section_id").alias("q_section")), ["document_id", "block_id"]).withColumnRenamed("block_id", "q_block")
+    q = stage(q.drop("question_text"), "asked")
     example = blocks.select("document_id", F.col("block_id").alias("q_part"), (F.col("block_type") == "worked_example").alias("is_example"))
     matches = lambda: F.coalesce((F.lower("enumerator") == F.lower("question_number")) | F.lower(F.trim(T.text_of("text"))).startswith(F.concat(F.lit("("), F.lower("question_number"), F.lit(")"))) | F.lower(F.trim(T.text_of("text"))).startswith(F.concat(F.lit("ans. ("), F.lower("question_number"), F.lit(")"))), F.lit(False))
     cols = ("document_id", "question_id", "block_id", "relationship", "strength", "source")

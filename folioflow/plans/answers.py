@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.functions import text as T
-from folioflow.operators import answers, evaluate, graph, hierarchy, retrieval, structure
+from folioflow.operators import answers, discover, evaluate, graph, hierarchy, retrieval, structure
 from folioflow.plans import sqltext as S
 from folioflow.plans.documents import live
 from folioflow.session import stage, table
@@ -404,3 +404,71 @@ def q_page_union(spark, sf):
     page = src.join(live(spark, sf).select("document_id", "block_id", "page_index"), ["document_id", "block_id"]).filter("page_index is not null")
     rooted = page.join(tree_of(spark, sf).select("document_id", "question_id", "root_id"), ["document_id", "question_id"])
     return rooted.groupBy("document_id", "root_id").agg(F.array_join(F.array_sort(F.collect_set(F.col("page_index").cast("string"))), ",").alias("page_list"), F.countDistinct("page_index").alias("n_pages"))
+
+
+# ---------------------------------------------------------------- discovery
+
+
+@query()
+def q_question_roots(spark, sf):
+    """DIS-1, DIS-2, STR-23, STR-24, STR-25: blocks that questions start from."""
+    return discover.roots(live(spark, sf), table(spark, sf, "hierarchy"))
+
+
+@query(f"""WITH {S.BLOCKS}, r AS (SELECT DISTINCT document_id, lower(trim(src, ' ')) AS block_id, lower(trim(dst, ' ')) AS asset_id FROM edges WHERE edge_type = 'refers_to' UNION SELECT document_id, part_of_id, block_id FROM b WHERE part_of_id IS NOT NULL)
+SELECT DISTINCT r.document_id, r.block_id, r.asset_id FROM r JOIN b a ON a.document_id = r.document_id AND a.block_id = r.asset_id AND a.block_type IN {S.ASSETS}
+WHERE (r.document_id, r.block_id) IN (SELECT (document_id, block_id) FROM b) OR (r.document_id, r.block_id, r.asset_id) IN (SELECT (document_id, part_of_id, block_id) FROM b WHERE part_of_id IS NOT NULL)""")
+def q_related_assets(spark, sf):
+    """DIS-6, SET-3, JON-13: assets that belong to blocks."""
+    return discover.related_assets(live(spark, sf), table(spark, sf, "edges"))
+
+
+_STEMS = S.in_list(discover.STEM_TYPES)
+
+
+@query(f"""WITH {S.BLOCKS}, f AS (SELECT document_id, part_of_id AS container_id, min(reading_order) AS first_part FROM b WHERE part_of_id IS NOT NULL GROUP BY ALL),
+c AS (SELECT document_id, section_id, block_id AS container_id, reading_order AS pos, lead(reading_order) OVER (PARTITION BY document_id, section_id ORDER BY reading_order) AS following FROM b WHERE group_role = 'container' AND section_id IS NOT NULL)
+SELECT c.document_id, c.container_id, b.block_id FROM c LEFT JOIN f USING (document_id, container_id) JOIN b ON b.document_id = c.document_id AND b.section_id = c.section_id AND b.block_type IN {_STEMS} AND b.part_of_id IS NULL
+WHERE b.reading_order > c.pos AND b.reading_order < coalesce(least(following, first_part), 9223372036854775807)""")
+def q_stem_blocks(spark, sf):
+    """WIN-11: blocks of a container's stem."""
+    return discover.stem_blocks(live(spark, sf))
+
+
+@query(f"""WITH {S.BLOCKS}, u AS (SELECT document_id, lower(trim(unnest(source_blocks), ' ')) AS block_id FROM questions), p AS (SELECT * FROM b WHERE block_type IN ('paragraph', 'callout', 'note', 'activity') AND contains(coalesce(text, ''), '?') AND length(text) BETWEEN 20 AND 600
+  AND NOT EXISTS (SELECT 1 FROM u WHERE u.document_id = b.document_id AND u.block_id = b.block_id))
+SELECT document_id, block_id, CAST(place AS INTEGER) AS place FROM (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY reading_order) AS place FROM p) WHERE place <= 60""")
+def q_in_text_candidates(spark, sf):
+    """DIS-9, JON-21, SRT-8: prose that may hold a question."""
+    return discover.in_text_candidates(live(spark, sf), table(spark, sf, "questions"))
+
+
+@query(f"""WITH {S.QUESTIONS}, l AS (SELECT document_id, parent_id, question_id, ordinal, regexp_replace(lower(coalesce(question_number, '')), '[^a-z0-9]', '', 'g') AS lb FROM q WHERE parent_id IS NOT NULL),
+r AS (SELECT *, CAST(CASE WHEN list_contains(['i','ii','iii','iv','v','vi','vii','viii','ix','x'], lb) THEN {S.ROMAN_RANK.format('lb')} WHEN regexp_matches(lb, '^[a-z]$') THEN ascii(lb) - 96 WHEN regexp_matches(lb, '^\\d{{1,9}}$') THEN CAST(lb AS INTEGER) ELSE 99 END AS INTEGER) AS rank FROM l)
+SELECT document_id, parent_id, question_id, rank, CAST(row_number() OVER (PARTITION BY document_id, parent_id ORDER BY rank, ordinal NULLS FIRST, question_id) AS INTEGER) AS place FROM r""")
+def q_label_order(spark, sf):
+    """WIN-17, NUM-10: parts of a question in the order of their labels."""
+    return discover.label_order(table(spark, sf, "questions"))
+
+
+@query(f"""WITH {S.BLOCKS}, t AS (SELECT document_id, arg_min(trim(text, ' '), reading_order) AS chapter FROM b WHERE block_type IN ('chapter', 'topic') AND trim(coalesce(text, ''), ' ') <> '' GROUP BY ALL),
+g AS (SELECT document_id, arg_min(regexp_extract(text, '\\bClass\\s+(XII|XI|IX|X|VIII|VII|VI|\\d{{1,2}})\\b', 1), reading_order) AS grade FROM b WHERE regexp_matches(text, '\\bClass\\s+(XII|XI|IX|X|VIII|VII|VI|\\d{{1,2}})\\b') GROUP BY ALL)
+SELECT d.document_id, chapter, nullif(regexp_extract(chapter, '\\b(\\d{{1,2}})\\b', 1), '') AS chapter_number, grade FROM (SELECT DISTINCT document_id FROM b) d LEFT JOIN t USING (document_id) LEFT JOIN g USING (document_id)""")
+def q_document_meta(spark, sf):
+    """STR-35: what documents say about themselves."""
+    return discover.document_meta(live(spark, sf))
+
+
+@query()
+def q_marks(spark, sf):
+    """STR-26: marks of blocks, their own or their banner's."""
+    b = live(spark, sf)
+    return discover.marks(b, structure.regions(b))
+
+
+@query()
+def q_adjudication_items(spark, sf):
+    """ASC-2, JSN-2, STR-37: open questions with their candidates for an outside judge."""
+    leaves, blocks, found = evidence_of(spark, sf)
+    evidence = stage(answers.ranked(found, blocks), "evidence")
+    return discover.adjudication_items(answers.associate(leaves, blocks, evidence), leaves, evidence, blocks)
