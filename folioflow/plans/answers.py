@@ -188,14 +188,21 @@ def q_answered_by(spark, sf):
     return answers.answered_by(associations_of(spark, sf))
 
 
-@query()
+@query(f"""WITH {_BM25}, le AS (SELECT item_id AS query_id, doc_id AS block_id, score / max(score) OVER (PARTITION BY item_id) AS score FROM rk WHERE rank <= 8),
+se AS (SELECT query_id + 7001 AS query_id, vec_id AS block_id, greatest(0.0::DOUBLE, similarity) AS score FROM ({_COSINE})),
+st AS (SELECT i.item_id AS query_id, d.block_id, 0.6::DOUBLE AS strength FROM eval_items i JOIN (SELECT subject, min(doc_id) AS block_id FROM documents GROUP BY ALL) d ON d.subject = i.subject),
+a AS (SELECT query_id, block_id, strength AS st, NULL::DOUBLE AS le, NULL::DOUBLE AS se FROM st UNION ALL SELECT query_id, block_id, NULL, score, NULL FROM le UNION ALL SELECT query_id, block_id, NULL, NULL, score FROM se),
+o AS (SELECT query_id, block_id, coalesce(max(st), 0) AS strength, coalesce(max(le), 0) AS lexical, coalesce(max(se), 0) AS semantic, concat_ws(',', CASE WHEN count(le) > 0 THEN 'lexical' END, CASE WHEN count(se) > 0 THEN 'semantic' END, CASE WHEN count(st) > 0 THEN 'structural' END) AS channels FROM a GROUP BY ALL),
+r AS (SELECT *, CASE WHEN strength > 0 THEN strength ELSE round((0.5::DOUBLE * semantic + 0.3::DOUBLE * lexical) * 0.7::DOUBLE, 6) END AS rerank FROM o)
+SELECT query_id, block_id, strength, lexical, semantic, rerank, channels, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rerank DESC, block_id) AS rank FROM r) WHERE rank <= 6""")
 def q_fused_evidence(spark, sf):
-    """JON-10, NUM-6, SET-1, SET-2: lexical and vector hits of evaluation items with structural ones, fused."""
+    """JON-10, NUM-6, SET-1, SET-2: lexical and vector hits, and for evaluation items the first document of their subject, fused."""
     items, docs = table(spark, sf, "eval_items"), table(spark, sf, "documents")
     lexical = retrieval.bm25_topk(items, "item_id", "text", docs, "doc_id", "text").select(F.col("item_id").alias("query_id"), F.col("doc_id").alias("block_id"), F.col("share").alias("score"))
     vectors = table(spark, sf, "embeddings")
     semantic = retrieval.cosine_topk(vectors.filter("vec_id % 20 = 0"), vectors).select((F.col("query_id") + 7001).alias("query_id"), F.col("vec_id").alias("block_id"), F.greatest(F.lit(0.0), F.col("similarity")).alias("score"))
-    same = docs.join(items, "subject").filter("doc_id % 20 = 0 and item_id % 20 = 0").groupBy("item_id").agg(F.min("doc_id").alias("block_id")).select(F.col("item_id").alias("query_id"), "block_id", F.lit(0.6).alias("strength"))
+    first = docs.filter("subject is not null").groupBy("subject").agg(F.min("doc_id").alias("block_id"))
+    same = items.join(first, "subject").select(F.col("item_id").alias("query_id"), "block_id", F.lit(0.6).alias("strength"))
     return retrieval.fuse(same, lexical, semantic)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from folioflow.functions import arithmetic
 from folioflow.functions import text as T
-from folioflow.operators import corpus, evaluate, hierarchy, ordering, reconstruct, structure
+from folioflow.operators import corpus, evaluate, hierarchy, reconstruct, structure
 from folioflow.plans import sqltext as S
 from folioflow.session import table
 
@@ -206,15 +206,14 @@ def q_regions(spark, sf):
     return structure.regions(live(spark, sf))
 
 
-_WORKSHEETS = "text LIKE 'Worksheet%' OR text LIKE 'Exercises%' OR text LIKE 'Practice%' OR text LIKE 'Check your%'"
-_LINES = f"""l AS (SELECT document_id, row_id, position, block_type, text FROM (
+_LINES = """l AS (SELECT document_id, row_id, position, block_type, text FROM (
   SELECT doc_id AS document_id, doc_id || ':' || (ix - 1) AS row_id, ix - 1 AS position, CASE WHEN line LIKE 'Ans%' OR line LIKE 'Solution%' THEN 'answer' ELSE 'paragraph' END AS block_type, line AS text
-  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS ix FROM documents WHERE {_WORKSHEETS})))"""
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS ix FROM documents)))"""
 
 
 def lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Lines of the exercise texts as rows in order (SRC-7)."""
-    docs = table(spark, sf, "documents").filter(_WORKSHEETS).select(F.col("doc_id").alias("document_id"), F.posexplode(F.split("text", "\n")).alias("position", "text"))
+    """Lines of the documents as rows in order (SRC-7)."""
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("document_id"), F.posexplode(F.split("text", "\n")).alias("position", "text"))
     kind = F.when(F.col("text").startswith("Ans") | F.col("text").startswith("Solution"), "answer").otherwise("paragraph")
     return docs.select("document_id", F.concat_ws(":", "document_id", "position").alias("row_id"), F.col("position").cast("bigint").alias("position"), kind.alias("block_type"), "text")
 
@@ -249,7 +248,7 @@ FROM k LEFT JOIN g ON g.row_id = k.row_id AND g.document_id = k.document_id WHER
 
 @query(_GROUP_SQL)
 def q_group_structure(spark, sf):
-    """WIN-7, STR-2, STR-3: containers, parts and alternatives of the exercise texts."""
+    """WIN-7, STR-2, STR-3: containers, parts and alternatives among the lines of the documents."""
     return structure.enumeration(lines(spark, sf), ["document_id"])
 
 
@@ -326,7 +325,7 @@ def q_numbering_gaps(spark, sf):
 @query(f"""WITH {_LINES}, n AS (SELECT DISTINCT CAST(document_id AS VARCHAR) || ':N' AS series, CAST(regexp_extract(text, '^\\s*(\\d{{1,3}})[.)]\\s', 1) AS INTEGER) AS n FROM l WHERE regexp_matches(text, '^\\s*(\\d{{1,3}})[.)]\\s')),
 d AS (SELECT series, n, lead(n) OVER (PARTITION BY series ORDER BY n) AS after, count(*) OVER (PARTITION BY series) AS c FROM n) SELECT series, n + 1 AS first_missing, after - 1 AS last_missing FROM d WHERE c >= 3 AND after > n + 1""")
 def q_exercise_gaps(spark, sf):
-    """WIN-12, STR-32: gaps in the numbers of exercises."""
+    """WIN-12, STR-32: gaps in the numbers that lines begin with."""
     rows = lines(spark, sf).select(F.concat(F.col("document_id").cast("string"), F.lit(":N")).alias("series"), F.nullif(F.regexp_extract("text", r"^\s*(\d{1,3})[.)]\s", 1), F.lit("")).cast("int").alias("n"))
     return structure.numbering_gaps(rows)
 
@@ -405,40 +404,40 @@ def q_ambiguous_pairs(spark, sf):
     return reconstruct.ambiguous_pairs(scored(spark, sf), ["document_id"])
 
 
-def exercise_texts(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").filter(_WORKSHEETS).select("doc_id", "text")
+def texts(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "documents").filter("text is not null").select("doc_id", "text")
 
 
 @query()
 def q_subparts(spark, sf):
     """STR-10..STR-13: runs of parts inside one text."""
-    parts = reconstruct.subparts(exercise_texts(spark, sf), "doc_id", "text")
+    parts = reconstruct.subparts(texts(spark, sf), "doc_id", "text")
     return parts.select("doc_id", F.posexplode("marks").alias("ix", "m")).select("doc_id", "ix", "m.start", "m.label")
 
 
 @query()
 def q_split_inward(spark, sf):
     """STR-15, STR-16, DIS-4, DIS-5: texts cut into stem, parts and answer."""
-    return reconstruct.split_inward(exercise_texts(spark, sf), "doc_id", "text")
+    return reconstruct.split_inward(texts(spark, sf), "doc_id", "text")
 
 
 @query()
 def q_options(spark, sf):
-    """STR-14, STR-20, STR-21: options of the numbered exercises."""
-    items = exercise_texts(spark, sf).select("doc_id", F.posexplode(T.marker_segments("text", r"(\n\d{1,3}\. )")).alias("ix", "s")).select(F.concat_ws(":", "doc_id", "ix").alias("item_id"), F.col("s.text").alias("item"))
+    """STR-14, STR-20, STR-21: options of the numbered items."""
+    items = texts(spark, sf).select("doc_id", F.posexplode(T.marker_segments("text", r"(\n\d{1,3}\. )")).alias("ix", "s")).select(F.concat_ws(":", "doc_id", "ix").alias("item_id"), F.col("s.text").alias("item"))
     return reconstruct.options(items, "item_id", "item")
 
 
 @query()
 def q_inline_segments(spark, sf):
     """STR-17: questions and answers inside one text."""
-    return reconstruct.inline_segments(exercise_texts(spark, sf), "doc_id", "text")
+    return reconstruct.inline_segments(texts(spark, sf), "doc_id", "text")
 
 
-@query(f"SELECT doc_id, CAST(length(split_part(regexp_replace(text, {S.lit(T.ANSWER_BOUNDARY)}, chr(1) || '\\0'), chr(1), 1)) AS INTEGER) AS boundary FROM documents WHERE ({_WORKSHEETS}) AND {S.rlike('text', T.ANSWER_BOUNDARY)}")
+@query(f"SELECT doc_id, CAST(length(split_part(regexp_replace(text, {S.lit(T.ANSWER_BOUNDARY)}, chr(1) || '\\0'), chr(1), 1)) AS INTEGER) AS boundary FROM documents WHERE {S.rlike('text', T.ANSWER_BOUNDARY)}")
 def q_answer_boundary(spark, sf):
     """STR-8: where the answer begins."""
-    return exercise_texts(spark, sf).select("doc_id", T.answer_boundary("text").alias("boundary")).filter("boundary >= 0")
+    return texts(spark, sf).select("doc_id", T.answer_boundary("text").alias("boundary")).filter("boundary >= 0")
 
 
 def _cue(n: str) -> str:
@@ -520,7 +519,3 @@ def q_box_matches(spark, sf):
     """JON-22, JON-23, AGG-20: boxes of text blocks matched with boxes of assets of the page, one to one."""
     b = live(spark, sf).filter("x0 is not null").select("document_id", "page_index", F.col("block_id").alias("box_id"), F.col("block_type").alias("kind"), "x0", "y0", "x1", "y1")
     return evaluate.box_matches(b.filter(F.col("kind").isin(*T.ASSET_TYPES)), b.filter(~F.col("kind").isin(*T.ASSET_TYPES)), 0.3)
-
-
-def positions_of(spark: SparkSession, sf: str) -> DataFrame:
-    return ordering.running(live(spark, sf), ["document_id"], "reading_order", {"n": F.lit(1)})

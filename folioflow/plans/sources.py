@@ -79,14 +79,16 @@ def q_payload_status(spark, sf):
 
 
 def _extractions(spark: SparkSession, sf: str) -> DataFrame:
-    """One extraction per page and parser of the raw blocks; odd hashes stand for pages that were cut off."""
-    per = _raw(spark, sf).groupBy("document_id", "page_index", F.col("parser").alias("model")).agg(F.count_if(F.trim(F.coalesce("text", F.lit(""))) != "").alias("n_blocks"))
+    """One extraction per page and parser of the raw blocks: failed where a block was hardly read, cut off where a text ends in a hyphen."""
+    text = F.trim(F.coalesce("text", F.lit("")))
+    per = _raw(spark, sf).groupBy("document_id", "page_index", F.col("parser").alias("model")).agg(F.count_if(text != "").alias("n_blocks"), F.min("extraction_confidence").alias("least"), F.max(text.endswith("-")).alias("truncated"))
     sha = F.sha2(F.concat_ws(":", "document_id", "page_index"), 256)
-    return per.select(sha.alias("page_sha"), "model", F.lit("v1").alias("prompt_version"), F.when(F.col("page_index") % 11 == 0, "failed").otherwise("ok").alias("status"), (F.col("page_index") % 7 == 0).alias("truncated"), F.when(F.col("page_index") % 11 == 0, "timeout").alias("failure_reason"), "n_blocks")
+    failed = F.coalesce(F.col("least") < 0.55, F.lit(False))
+    return per.select(sha.alias("page_sha"), "model", F.lit("v1").alias("prompt_version"), F.when(failed, "failed").otherwise("ok").alias("status"), "truncated", F.when(failed, "unreadable").alias("failure_reason"), "n_blocks")
 
 
-_EXTRACT = """x AS (SELECT sha256(document_id || ':' || page_index) AS page_sha, parser AS model, 'v1' AS prompt_version, CASE WHEN page_index % 11 = 0 THEN 'failed' ELSE 'ok' END AS status, page_index % 7 = 0 AS truncated, CASE WHEN page_index % 11 = 0 THEN 'timeout' END AS failure_reason,
-  count(*) FILTER (trim(coalesce(text, ''), ' ') <> '') AS n_blocks FROM raw_blocks WHERE document_id IS NOT NULL AND page_index IS NOT NULL GROUP BY document_id, page_index, parser)"""
+_EXTRACT = """x AS (SELECT sha256(document_id || ':' || page_index) AS page_sha, parser AS model, CASE WHEN coalesce(min(extraction_confidence) < 0.55, false) THEN 'failed' ELSE 'ok' END AS status, bool_or(ends_with(trim(coalesce(text, ''), ' '), '-')) AS truncated,
+  CASE WHEN coalesce(min(extraction_confidence) < 0.55, false) THEN 'unreadable' END AS failure_reason, count(*) FILTER (trim(coalesce(text, ''), ' ') <> '') AS n_blocks FROM raw_blocks WHERE document_id IS NOT NULL AND page_index IS NOT NULL GROUP BY document_id, page_index, parser)"""
 
 
 @query(f"WITH {_EXTRACT} SELECT page_sha, model, CASE WHEN status = 'ok' AND NOT truncated AND n_blocks > 0 THEN 'valid' WHEN status <> 'ok' THEN failure_reason WHEN truncated THEN 'truncated' ELSE 'empty' END AS outcome FROM x")
