@@ -48,7 +48,7 @@ def spans(scored: DataFrame, keys: list[str], anchor: Column, claimed: Column |
     stops = anchor if claimed is None else anchor | claimed
     broken = stops | F.col("hard_stop") | (F.col("score") < JOIN_AT)
     rows = scored.withColumns({"_anchor": F.coalesce(anchor, F.lit(False)), "_break": F.coalesce(broken, F.lit(True))})
-    rows = ordering.running(rows, keys, "position", {"_n": F.lit(1)})
+    rows = ordering.running(ordering.prepare(rows, "position"), keys, "position", {"_n": F.lit(1)})
     rows = ordering.carry(rows, keys, "position", {"_head": F.when(F.col("_break"), F.struct("row_id", F.col("_n").alias("n"), F.col("_anchor").alias("is_anchor")))})
     at = F.col("_n") - F.col("_head.n")
     return rows.filter(F.col("_head.is_anchor") & (at < MAX_BLOCKS)).select(*keys, F.col("_head.row_id").alias("anchor_id"), at.cast("int").alias("segment"), "row_id", F.when(at == 0, "stem").otherwise("continuation").alias("role"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from folioflow.functions import geometry
 from folioflow.functions import text as T
 from folioflow.operators import ordering
+from folioflow.session import stage
 
 LEVELS = {"chapter": 0, "topic": 1, "section": 2, "subsection": 3}
 MAX_LEVEL = 6
@@ -42,7 +43,7 @@ def sections(blocks: DataFrame) -> DataFrame:
     A heading's parent is the last heading before it of a lower level; a block's
     section is the last heading at or before it. Null stands for the document.
     """
-    rows = blocks.select("document_id", "block_id", "reading_order", heading_level().alias("level"))
+    rows = ordering.prepare(blocks.select("document_id", "block_id", "reading_order", heading_level().alias("level")), "reading_order")
     opens = F.col("level") > 0
     here = F.struct("reading_order", "block_id")
     before = {f"m{k}": F.when(F.col("level") == k, here) for k in range(1, MAX_LEVEL + 1)}
@@ -65,6 +66,7 @@ def answer_runs(blocks: DataFrame) -> DataFrame:
     heading = F.col("block_type").isin(*T.HEADING_TYPES) | F.col("heading_level").isNotNull()
     kind = F.when(heading & t.rlike(T.ANSWER_HEADING), "opens").when(heading, "closes").when(generic & t.rlike(T.ANSWER_OPENER), "opener").when(t.rlike(T.ANSWER_RESET), "closes")
     rows = blocks.select("document_id", "block_id", "reading_order", "block_type", kind.alias("event"), (generic & (t != "") & ~heading).alias("generic"))
+    rows = ordering.prepare(rows, "reading_order")
     rows = ordering.running(rows, DOC, "reading_order", {"k": (F.col("generic") & F.col("event").isNull()).cast("int")})
     # how many generic blocks there were when the run began
     rows = ordering.carry(rows, DOC, "reading_order", {"head": F.when(F.col("event").isNotNull(), F.struct("event", "k"))})
@@ -107,6 +109,8 @@ def enumeration(rows: DataFrame, keys: list[str]) -> DataFrame:
     rows = ordering.carry(rows, keys, "position", {"upper": F.when(F.col("_sub") & (F.col("_e.level") == 1), at)}, current=False)
     in_container = F.col("upper.position") > F.col("cont.position")
     rows = rows.withColumn("_parent", F.when(F.col("_sub"), F.when((F.col("_e.level") == 2) & in_container, F.col("upper.row_id")).otherwise(F.col("cont.row_id"))))
+    # each ordered step reads its input twice; written here, the steps before it run once and not once per later branch
+    rows = stage(rows.drop("text"), "enumerated")
     content = ~F.col("_or") & ~F.col("_cont") & ~F.col("_sub") & F.col("block_type").isin("answer", "solution", "explanation") & F.col("cont").isNotNull()
     event = F.when(F.col("_or"), "or").when(F.col("_cont") | F.col("_sub") | content, "other")
     rows = ordering.carry(rows, keys, "position", {"ev": event, "prev_sub": F.when(F.col("_sub"), F.struct("position", "row_id", F.col("_parent").alias("parent")))}, current=False)
@@ -167,7 +171,8 @@ def continuations(blocks: DataFrame, pages: DataFrame) -> DataFrame:
     page = pages.filter("document_id is not null and page_index is not null").groupBy("document_id", "page_index").agg(F.max("height").alias("height"))
     b = blocks.filter("x0 is not null and block_type <> 'noise'").join(page, ["document_id", "page_index"], "left").withColumn("height", F.coalesce("height", F.lit(1)).cast("double"))
     me = F.struct("block_id", "block_type", "text", "page_index", "col_ix", "y0", "height")
-    b = ordering.neighbours(b.select("document_id", "reading_order", "block_id", "block_type", "text", "page_index", "col_ix", "y0", "y1", "height"), DOC, "reading_order", following={"n": me})
+    b = ordering.prepare(b, "reading_order")
+    b = ordering.neighbours(b.select(ordering.BUCKET, "document_id", "reading_order", "block_id", "block_type", "text", "page_index", "col_ix", "y0", "y1", "height"), DOC, "reading_order", following={"n": me})
     first_line = lambda c: F.split_part(c, F.lit("\n"), F.lit(1))
     bars = lambda c: F.when(T.text_of(c) != "", F.regexp_count(first_line(T.text_of(c)), F.lit(r"\|")))
     numbers = lambda c: F.transform(F.regexp_extract_all(T.text_of(c), F.lit(r"\(\s*(\d{1,9})\s*\)")), lambda x: x.cast("int"))

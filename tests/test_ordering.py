@@ -47,3 +47,13 @@ def test_positions_like_a_window(rows):
 def test_empty(rows):
     none = rows.limit(0)
     assert ordering.carry(none, ["d"], "p", {"c": F.col("v")}).count() == ordering.neighbours(none, ["d"], "p", {"b": F.col("v")}).count() == 0
+
+
+@pytest.mark.parametrize("span", [1, 7, 10_000])
+def test_several_in_a_row_share_buckets(rows, span):
+    w = Window.partitionBy("d").orderBy("p")
+    df = ordering.prepare(rows, "p", span)
+    df = ordering.running(df, ["d"], "p", {"n": F.lit(1)})
+    df = ordering.carry(df, ["d"], "p", {"c": F.col("v")})
+    df = ordering.finish(ordering.neighbours(df, ["d"], "p", {"b": F.col("n")}))
+    same(df, rows.withColumns({"n": F.count(F.lit(1)).over(w), "c": F.last("v", True).over(w)}).withColumn("b", F.lag("n").over(w)))
