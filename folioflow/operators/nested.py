@@ -35,7 +35,6 @@ EMITTED = "tag string, document_id string, record_key string, parent_key string,
 _ARROW = pa.schema([("tag", pa.string()), ("document_id", pa.string()), ("record_key", pa.string()), ("parent_key", pa.string()), ("ordinal", pa.int32()), ("depth", pa.int32()), ("body", pa.string())])
 _ESCALATION_FIELDS = {"kind", "attempt", "decision", "reason", "model", "previous_status"}
 _QUESTION_FIELDS = {"id", "question_text", "question_type", "source_type", "sub_questions", "validation", "options", "marks"}
-_decoder = json.JSONDecoder(strict=False)
 _fence = re.compile(r"^`{3,}\w*\s*|\s*`{3,}$")
 
 SCHEMAS: dict[str, T.StructType] = {
@@ -54,17 +53,17 @@ def read_payload(payload: str | None) -> dict | None:
         if not text:
             return None
         try:
-            payload = _decoder.decode(text)
+            payload = json.loads(text, strict=False)
         except (ValueError, RecursionError):
             start = text.find("{")
             if start <= 0:
                 try:
-                    payload = _decoder.raw_decode(text)[0] if start == 0 else None
+                    payload = json.JSONDecoder(strict=False).raw_decode(text)[0] if start == 0 else None
                 except (ValueError, RecursionError):
                     return None
             else:
                 try:
-                    payload = _decoder.raw_decode(text, start)[0]
+                    payload = json.JSONDecoder(strict=False).raw_decode(text, start)[0]
                 except (ValueError, RecursionError):
                     return None
             if not isinstance(payload, dict):
@@ -85,7 +84,7 @@ def _as_list(value, fields: set[str]) -> list[tuple[str | None, object]]:
         if not isinstance(value, str):
             break
         try:
-            value = _decoder.decode(value)
+            value = json.loads(value, strict=False)
         except (ValueError, RecursionError):
             return []
     if isinstance(value, list):
@@ -100,7 +99,7 @@ def _as_list(value, fields: set[str]) -> list[tuple[str | None, object]]:
 def _as_object(value):
     if isinstance(value, str) and value.lstrip().startswith("{"):
         try:
-            return _decoder.decode(value)
+            return json.loads(value, strict=False)
         except (ValueError, RecursionError):
             return None
     return value
