@@ -12,8 +12,11 @@ is verified: a run of ``RUN_WORDS`` words as a substring, else the words in
 their order by a banded alignment.
 
 Only q-grams that few items have are counted, and the bounds are computed for
-these, so the filter loses nothing; an item whose bound would become too small
-for it counts more frequent ones too.
+these, so the filter loses no run and no item with words misread or replaced
+within the budget; an item whose bound would become too small for it counts
+more frequent ones too. Words put in between break the q-grams at these places
+in addition: one at every second place is still found, one at every place is
+beyond the bound.
 
 The items are held by every task. Their size is summed first; above
 ``BLOCK_CHARS`` characters they are split into blocks, each compared with all

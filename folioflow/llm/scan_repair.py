@@ -48,6 +48,8 @@ KNOWN_COUNT = 3
 #: a confusion counts from so many different forms on
 CONFUSION_FORMS = 3
 MOST_CONFUSIONS = 2_000
+#: a line is a running header if it stands on two pages and on at least this share of the chapter's pages
+HEADER_SHARE = 0.01
 #: log probability that an unknown form is right as it is, and of a confusion that only a formula command shows
 UNSEEN = math.log(2e-8)
 RARE_CONFUSION = 1e-4
@@ -203,8 +205,8 @@ def candidates(forms: DataFrame, known: DataFrame) -> DataFrame:
         table[seen].append((meant, math.log(p)))
     guessed = forms.select("form").mapInArrow(_candidates(dict(table)), "form string, word string, log_p double")
     rare = pairs.filter(F.col("form").startswith("\\")).select("form", "word", F.lit(math.log(RARE_CONFUSION)).alias("log_p"))
-    total = known.agg(F.sum("n").alias("total"))
-    prior = known.join(F.broadcast(total)).select("word", F.log(F.col("n") / F.col("total")).alias("log_n"))  # one row
+    total = float(known.agg(F.sum("n")).first()[0] or 1)
+    prior = known.select("word", F.log(F.col("n") / F.lit(total)).alias("log_n"))
     scored = guessed.unionByName(rare).groupBy("form", "word").agg(F.max("log_p").alias("log_p")).join(prior, "word")
     command = F.col("form").startswith("\\")
     return scored.select("form", "word", (F.col("log_p") + F.col("log_n")).alias("score")).filter(command | (F.col("score") > UNSEEN))
@@ -248,7 +250,9 @@ def chapter_facts(rows: DataFrame, pages: DataFrame) -> DataFrame:
     lines = lines.filter(F.regexp_count("line", F.lit(r"\b\p{Lu}")) > 1)
     keys = lines.withColumn("key", _header_key(F.col("line"))).filter(F.length("key") >= 6)
     spread = stage(keys.groupBy("document_id", "key").agg(F.countDistinct("page_index").alias("n_pages"), F.min("line").alias("line")), "headers")
-    again = spread.filter("n_pages > 1")
+    # in a long chapter a heading may come twice by chance: a running header comes on a share of the pages
+    sizes = scanned.groupBy("document_id").agg(F.countDistinct("page_index").alias("all_pages"))
+    again = spread.join(sizes, "document_id").filter(F.col("n_pages") >= F.greatest(F.lit(2), HEADER_SHARE * F.col("all_pages"))).select("document_id", "key", "n_pages", "line")
     single = spread.filter("n_pages = 1").join(again.select("document_id", "key"), ["document_id", "key"], "left_anti")
     # a line seen once is a header if all its words, or what they are damaged from, are words of headers that are seen again in other chapters
     words = lambda df: df.select("document_id", "key", F.explode(F.array_distinct(_words("line"))).alias("word")).filter(~F.col("word").rlike("^[0-9]+$"))
