@@ -474,12 +474,12 @@ def q_asking_blocks(spark, sf):
     return live(spark, sf).select("document_id", "block_id", T.asks("text").alias("asks"))
 
 
-@query("""WITH v(t) AS (VALUES ('Why? (Apply) 3'), ('[NCERT] (understand)'), ('[ 5 marks ] (Create)'), ('plain'), ('[DIKSHA] [NCERT Exemplar] [ 2 mark ]'))
+@query("""WITH v(t) AS (VALUES ('Why? (Apply) 3'), ('[board] (understand)'), ('[ 5 marks ] (Create)'), ('plain'), ('[portal] [board 2] [ 2 mark ]'))
 SELECT t, nullif(regexp_extract(t, '(?i)\\((Remember|Understand|Apply|Analyse|Analyze|Evaluate|Create)\\)', 1), '') AS bloom,
   coalesce(nullif(regexp_extract(t, '(?i)\\((?:Remember|Understand|Apply|Analyse|Analyze|Evaluate|Create)\\)\\s*(\\d+)', 1), ''), nullif(regexp_extract(t, '(?i)\\[\\s*(\\d+)\\s*marks?\\s*\\]', 1), '')) AS marks FROM v""")
 def q_tags(spark, sf):
     """PRS-14: tags that a text states (on a few made-up lines: the tables have none)."""
-    rows = spark.createDataFrame([(t,) for t in ("Why? (Apply) 3", "[NCERT] (understand)", "[ 5 marks ] (Create)", "plain", "[DIKSHA] [NCERT Exemplar] [ 2 mark ]")], "t string")
+    rows = spark.createDataFrame([(t,) for t in ("Why? (Apply) 3", "[board] (understand)", "[ 5 marks ] (Create)", "plain", "[portal] [board 2] [ 2 mark ]")], "t string")
     marks = F.coalesce(F.nullif(F.regexp_extract("t", T.MARKS_AFTER_BLOOM, 1), F.lit("")), F.nullif(F.regexp_extract("t", T.MARKS_BANNER, 1), F.lit("")))
     return rows.select("t", F.nullif(F.regexp_extract("t", T.BLOOM, 1), F.lit("")).alias("bloom"), marks.alias("marks"))
 

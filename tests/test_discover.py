@@ -10,7 +10,7 @@ def hierarchy(spark, rows):
 
 def test_roots(spark):
     df = blocks(spark, [
-        b("paragraph", "1. Huygens' principle tells us that waves add up.", group_role="container", section_id="s1"), b("paragraph", "2. Light of one colour falls on two slits.", group_role="container", section_id="s2"), b("question", "Why?"), b("paragraph", "3. What is it?", group_role="container"),
+        b("paragraph", "1. The rule of the lever tells us that arms balance.", group_role="container", section_id="s1"), b("paragraph", "2. A beam of ten metres rests on two posts.", group_role="container", section_id="s2"), b("question", "Why?"), b("paragraph", "3. What is it?", group_role="container"),
         b("paragraph", "4. Answer the following", group_role="container", block_id="c"), b("paragraph", "(a) Why is it so?", group_role="subpart", part_of_id="c"), b("paragraph", "5.", group_role="container"), b("worked_example", "Example 3. Sand"),
     ])
     h = hierarchy(spark, [("d", "s1", "Summary"), ("d", "s2", "Exercises")])
