@@ -10,7 +10,9 @@ the report itself is a join of the references with the few orphan keys.
 
 Defined results for odd input: null or blank ids are no references and no
 records; rows with a null document_id are ignored; ids compare without outer
-blanks and case; records delivered several times count by the delivery with
+blanks and case; a ref in raw_blocks counts for each label that it names, also
+after a lead-in ('see Fig. 2.3'), a caption only for the one that it starts
+with; records delivered several times count by the delivery with
 the latest ingested_at (a delivery without a time counts as the earliest; of
 deliveries at the same instant a deleted one wins); a reference without a time
 is never late and has an empty month; repeated rows count once in the report.
@@ -26,7 +28,8 @@ from pyspark.sql import functions as F
 
 from folioflow.session import stage
 
-_LABEL = r"^[\s(\[]*(figure|fig|table|tab|equation|eqn|eq)s?\s*\.?\s*[(\[]?\s*(\d+)\s*\.\s*(\d+)"
+_LABEL_ANYWHERE = r"\b(figure|fig|table|tab|equation|eqn|eq)s?\s*\.?\s*[(\[]?\s*(\d+)\s*\.\s*(\d+)"
+_LABEL = r"^[\s(\[]*" + _LABEL_ANYWHERE
 
 
 def clean_id(c: Column | str) -> Column:
@@ -45,6 +48,12 @@ def label_key(c: Column | str) -> Column:
     return F.when(kind.isNotNull(), F.concat(kind, F.lit(" "), number(major), F.lit("."), number(minor)))
 
 
+def label_texts(c: Column | str) -> Column:
+    """The labels that a text names at any place, each from its kind to its number; null for null."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.regexp_extract_all(F.lower(c), F.lit(_LABEL_ANYWHERE), F.lit(0))
+
+
 def references(edges: DataFrame, questions: DataFrame, raw_blocks: DataFrame) -> DataFrame:
     """ref_table, ref_field, document_id, ref_key, target_key and ref_at of every reference."""
     cols = ("ref_table", "ref_field", "document_id", "ref_key", "target_key", "ref_at")
@@ -54,7 +63,7 @@ def references(edges: DataFrame, questions: DataFrame, raw_blocks: DataFrame) ->
     ).select(F.lit("edges").alias("ref_table"), F.col("e.f").alias("ref_field"), "document_id", "ref_key", clean_id("e.id").alias("target_key"), "ref_at")
     answers = questions.select("document_id", F.col("question_id").alias("ref_key"), F.col("associated_at").alias("ref_at"), F.explode("answer_association.answer_block_ids").alias("id"))
     answers = answers.select(F.lit("questions").alias("ref_table"), F.lit("answer_block_ids").alias("ref_field"), "document_id", "ref_key", clean_id("id").alias("target_key"), "ref_at")
-    labels = raw_blocks.select("document_id", F.col("raw_id").cast("string").alias("ref_key"), F.col("extracted_at").alias("ref_at"), F.explode("refs").alias("id"))
+    labels = raw_blocks.select("document_id", F.col("raw_id").cast("string").alias("ref_key"), F.col("extracted_at").alias("ref_at"), F.explode(F.flatten(F.transform(F.array_compact("refs"), label_texts))).alias("id"))
     labels = labels.select(F.lit("raw_blocks").alias("ref_table"), F.lit("refs").alias("ref_field"), "document_id", "ref_key", label_key("id").alias("target_key"), "ref_at")
     return reduce(DataFrame.unionByName, [d.select(*cols) for d in (ends, answers, labels)]).filter("document_id is not null and target_key is not null and ref_key is not null")
 

@@ -35,6 +35,13 @@ def test_reasons_spellings_and_odd_rows(spark):
     ])
 
 
+def test_refs_with_a_lead_in(spark):
+    blocks = [("d", "blk_1", "Fig. 2.3: x", T0, None, "x"), ("d", "blk_2", "As in Fig. 2.4", T0, None, "x")]
+    raw = [(1, "d", ["see Fig. 2.3", "see Fig. 2.4", "cf. table 1.1 and (eqs. (4.05))", "config 7.7", "see the figure"], T1), (2, "d", None, T1), (3, "d", [], T1)]
+    got = report(spark, blocks=blocks, raw=raw)
+    assert got == [("raw_blocks", "refs", "d", "1", key, "missing", "2024-02") for key in ("eq 4.5", "fig 2.4", "table 1.1")]
+
+
 def test_states_merge_like_one_pass(spark):
     blocks, nodes, questions, edges, pages, raw = tables(spark, blocks=[("d", "a", None, T0, None, "x"), ("d", "b", None, T1, T2, "x")], edges=[(1, "d", "a", "b", T1), (2, "d", "c", "a", T0)])
     refs = R.reference_deltas(R.references(edges, questions, raw))
