@@ -104,9 +104,10 @@ def low_yield_pages(blocks: DataFrame, pages: DataFrame) -> DataFrame:
     return counted.join(median, "document_id").filter(F.col("n_blocks") < F.greatest(F.lit(2.0), 0.25 * F.col("median_blocks")))
 
 
-def duplicate_texts(df: DataFrame, column: str, length: int = 200) -> DataFrame:
-    """Texts that come more than once, by their first characters in lower case and single blanks: surplus copies a key."""
-    key = F.substring(F.regexp_replace(F.lower(F.trim(T.text_of(column))), r"\s+", " "), 1, length)
+def duplicate_texts(df: DataFrame, column: str, length: int | None = 200) -> DataFrame:
+    """Texts that come more than once, by their first characters (None: all) in lower case and single blanks: surplus copies a key."""
+    key = F.regexp_replace(F.lower(F.trim(T.text_of(column))), r"\s+", " ")
+    key = F.trim(key) if length is None else F.substring(key, 1, length)
     return df.select(F.sha2(key, 256).alias("text_key"), key.alias("k")).filter("k <> ''").groupBy("text_key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("text_key", (F.col("n") - 1).alias("surplus"))
 
 

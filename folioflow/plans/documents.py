@@ -114,8 +114,8 @@ def q_duplicate_questions(spark, sf):
 
 @query(_duplicates("documents", "text"))
 def q_duplicate_documents(spark, sf):
-    """AGG-13: document beginnings that come more than once."""
-    return corpus.duplicate_texts(table(spark, sf, "documents"), "text")
+    """AGG-13: whole documents that come more than once."""
+    return corpus.duplicate_texts(table(spark, sf, "documents"), "text", length=None)
 
 
 @query(f"""WITH {S.BLOCKS}, h AS (

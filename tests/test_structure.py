@@ -132,3 +132,14 @@ def test_registry_goes_on_after_a_failure(spark):
 def test_boxes(spark):
     df = geometry.with_corners(spark.createDataFrame([([3.0, 4.0, 1.0, 2.0],), ([1.0, None, 2.0, 3.0],), (None,), ([1.0],)], "bbox array<double>"))
     assert [(r.x0, r.y0, r.x1, r.y1) for r in df.collect()] == [(1.0, 2.0, 3.0, 4.0)] + [(None,) * 4] * 3
+
+
+def test_duplicate_documents_are_compared_whole(spark, tmp_path):
+    from folioflow.plans import documents as P
+
+    opening = "The sand of the beach. " * 20
+    texts = [opening + "One end.", opening + "Another end.", opening.upper() + " One\n\nend.\n", "short", "Short ", None, " \n", "\n", ""]
+    spark.createDataFrame([(t,) for t in texts], "text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(t,) for t in texts[:2]], "question_text string").write.parquet(f"{tmp_path}/questions.parquet")
+    assert [r.surplus for r in P.q_duplicate_documents(spark, str(tmp_path)).collect()] == [1, 1]
+    assert [r.surplus for r in P.q_duplicate_questions(spark, str(tmp_path)).collect()] == [1]
