@@ -13,7 +13,9 @@ lines, or a pool that repeats itself more than pages of its language do.
 A contents list or a glossary has function words, an index repeats nothing, an
 answer key and a drill of numbers have hardly any words, and in a list of books
 with remarks, or a lesson that ends in tags, prose outweighs the rest; so none
-of them counts.
+of them counts. A line that comes again and again is prose only if it is a
+sentence: rich in function words and with a full stop. A pool needs less
+repetition if lines of its page repeat or separators are denser than usual.
 
 The language is told by the function words, and by the lang column only where
 a text has none. Defined results for odd input: null and blank texts and rows
@@ -51,6 +53,9 @@ LEAST_WORDS = 20
 LEAST_LINKS = 3
 SPAM_SHARE = 0.5
 LACKING = 0.65
+#: a line counts as repeated from so many copies on; a page from such a share of copies or so many separators a word above the usual
+OFTEN = 3
+MARKED = 0.2
 #: prose has at least so many function words, however many pages of a language are stuffed
 LEAST_USUAL = 0.35
 CLEAR_SHARE = 0.75
@@ -64,6 +69,7 @@ _WORD = re.compile(r"[^\W\d_][\wऀ-ॿ‍]*")
 _LINK = re.compile(r"(?:https?://|www\.)[^\s<>()\[\]'\"]+", re.I)
 _ANCHOR = re.compile(r"</?[A-Za-z][^<>]*>|\[([^\[\]]*)\]\([^()\s]*\)")
 _HASHTAG = re.compile(r"(?:^|\s)#\w+")
+_SENTENCE_END = re.compile(r"[.?!।:][\s\"'”’»)]*$")
 _SEPARATORS = re.compile(r"[|•·»;,/#*>]")
 
 FIELDS = ("words", "chars", "function_share", "link_share", "n_links", "list_share", "pool_share", "pool_words", "pool_top", "pool_repeats", "pool_ngrams", "duplicate_share", "separators")
@@ -92,6 +98,7 @@ def measure(text: str, lang: str | None) -> tuple:
     pool: list[str] = []
     grams: Counter[tuple] = Counter()
     seen: set[str] = set()
+    copies = Counter(" ".join(line.lower().split()) for line in lines)
     for line, links, words, masks in parsed:
         size = len(line)
         chars += size
@@ -108,6 +115,8 @@ def measure(text: str, lang: str | None) -> tuple:
         if len(words) >= LONG_LINE:
             varied = function >= SURE_PROSE_SHARE * len(words) or len({w for w in words if _MASK.get(w, 0) >> bit & 1}) >= LEAST_VARIED
             varied = varied and len(set(words)) > min(FEW_WORDS, 0.3 * len(words))
+        if words and copies[" ".join(line.lower().split())] >= OFTEN:
+            varied = varied and function >= SURE_PROSE_SHARE * len(words) and bool(_SENTENCE_END.search(line))
         if words and function >= PROSE_SHARE * len(words) and varied and not table:
             continue
         if links:
@@ -158,7 +167,9 @@ def usual(measured: DataFrame) -> DataFrame:
 def stuffed(measured: DataFrame) -> DataFrame:
     """doc_id and spam_share of the documents that are mostly stuffing."""
     m = measured.join(usual(measured), "language", "left").fillna(0.0)
-    repeats = F.col("pool_repeats") >= F.greatest(F.lit(0.5), F.least(F.lit(0.7), F.col("repeats_usual") + 0.2))
+    marked = (F.col("duplicate_share") >= MARKED) | (F.col("separators") >= F.col("separators_usual") + MARKED)
+    least = F.when(marked, 0.5).otherwise(F.greatest(F.lit(0.5), F.least(F.lit(0.7), F.col("repeats_usual") + 0.2)))
+    repeats = F.col("pool_repeats") >= least
     repeats = (repeats & (F.col("pool_top") >= 0.25)) | ((F.col("pool_ngrams") >= 0.5) & (F.col("pool_repeats") >= 0.5))
     pool = F.when(repeats & (F.col("pool_words") >= LEAST_WORDS), F.col("pool_share")).otherwise(0.0)
     links = F.when(F.col("n_links") >= LEAST_LINKS, F.col("link_share")).otherwise(0.0)

@@ -71,3 +71,18 @@ def test_language_is_told_by_the_text():
 
 def test_empty(spark):
     assert S.stuffed_pages(spark.createDataFrame([], "doc_id bigint, text string, lang string")).count() == 0
+
+
+def test_repeated_lines_are_no_prose(spark):
+    ad = "best physics notes for class at low price"
+    worksheet = "\n".join(f"Explain how the wind lifts {w} from the beach and where it goes.\nGive a reason for your answer" for w in "sand salt silt foam ash dust".split())
+    docs = [(0, "\n".join([ad] * 200), "en"), (1, "\n".join([PROSE["en"]] + [ad, "the best of the notes for you"] * 40), "en"), (2, "\n".join([PROSE["en"]] * 30), "en"), (3, worksheet, "en"), (4, f"{PROSE['en']}\n{ad}", "en")]
+    assert {x.doc_id for x in S.stuffed_pages(spark.createDataFrame(docs, "doc_id bigint, text string, lang string")).collect()} == {0, 1}
+
+
+def test_copies_and_separators_lower_the_bound(spark):
+    base = dict.fromkeys(S.FIELDS, 0.0) | {"words": 100.0, "chars": 600.0, "pool_share": 1.0, "pool_words": 100.0, "pool_top": 0.4, "pool_repeats": 0.55}
+    usual = base | {"pool_share": 0.1, "pool_repeats": 0.5, "separators": 0.1, "function_share": 0.5}
+    rows = [base, base | {"duplicate_share": 0.3}, base | {"separators": 0.35}, base | {"separators": 0.25}, *[usual] * 20]
+    df = spark.createDataFrame([(i, "en", *(r[f] for f in S.FIELDS)) for i, r in enumerate(rows)], "doc_id bigint, language string, " + ", ".join(f"{f} double" for f in S.FIELDS))
+    assert {r.doc_id for r in S.stuffed(df).collect()} == {1, 2}
