@@ -250,11 +250,11 @@ def chapter_facts(rows: DataFrame, pages: DataFrame) -> DataFrame:
     lines = lines.filter(F.regexp_count("line", F.lit(r"\b\p{Lu}")) > 1)
     keys = lines.withColumn("key", _header_key(F.col("line"))).filter(F.length("key") >= 6)
     spread = stage(keys.groupBy("document_id", "key").agg(F.countDistinct("page_index").alias("n_pages"), F.min("line").alias("line")), "headers")
-    # in a long chapter a heading may come twice by chance: a running header comes on a share of the pages
-    sizes = pages.filter("document_id is not null").groupBy("document_id").agg(F.countDistinct("page_index").alias("all_pages"))
-    again = spread.join(sizes, "document_id", "left").filter(F.col("n_pages") >= F.greatest(F.lit(2), HEADER_SHARE * F.coalesce("all_pages", F.lit(0)))).select("document_id", "key", "n_pages", "line")
-    single = spread.filter("n_pages = 1").join(again.select("document_id", "key"), ["document_id", "key"], "left_anti")
-    # a line seen once is a header if all its words, or what they are damaged from, are words of headers that are seen again in other chapters
+    # in a long chapter a heading may come twice by chance: a running header comes on a share of the scanned pages
+    sizes = scanned.groupBy("document_id").agg(F.countDistinct("page_index").alias("all_pages"))
+    again = spread.join(sizes, "document_id").filter(F.col("n_pages") >= F.greatest(F.lit(2), HEADER_SHARE * F.col("all_pages"))).select("document_id", "key", "n_pages", "line")
+    single = spread.join(again.select("document_id", "key"), ["document_id", "key"], "left_anti")
+    # a line seen once, or on too few pages, is a header if all its words, or what they are damaged from, are words of headers that are seen again in other chapters
     words = lambda df: df.select("document_id", "key", F.explode(F.array_distinct(_words("line"))).alias("word")).filter(~F.col("word").rlike("^[0-9]+$"))
     titles = title.select("document_id", _header_key(F.col("title")).alias("key"))
     common = words(again.join(titles, ["document_id", "key"], "left_anti")).groupBy("word").agg(F.countDistinct("document_id").alias("d")).filter("d > 1")

@@ -122,3 +122,13 @@ def test_empty(spark):
     raw, blocks, pages = (spark.createDataFrame([], s) for s in (RAW, BLOCKS, PAGES))
     assert R.damages(raw, blocks, pages).count() == 0
     assert R.damages(spark.createDataFrame([block(1, 0, 0, "some-\nthing")], RAW), blocks, pages).count() <= 1
+
+
+def test_headers_of_part_of_a_long_chapter(spark):
+    row = lambda d, page, text: (d, page, 0, "paragraph", None, text, True)
+    data = [row("long", p, "Moving Sand Dunes") if p < 5 else row("long", p, "Sand And Wind") if p < 7 else row("long", p, "Quiet Harbour Lights") if p < 9 else row("long", p, f"text {p}") for p in range(300)]
+    data += [row(d, p, h) for d in ("a", "b") for p in range(4) for h in ("The Sand Of Dunes", "And The Wind")]
+    df = spark.createDataFrame(data, "document_id string, page_index int, block_ix int, block_type string, heading_level int, text string, scanned boolean")
+    pages = spark.createDataFrame([("long", p, None) for p in range(1000)], "document_id string, page_index int, printed_page int")
+    headers = {r.document_id: r.headers for r in R.chapter_facts(df, pages).collect()}
+    assert headers["long"] == ["movingsanddunes", "sandandwind"]
