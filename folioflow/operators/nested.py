@@ -35,6 +35,8 @@ EMITTED = "tag string, document_id string, record_key string, parent_key string,
 _ARROW = pa.schema([("tag", pa.string()), ("document_id", pa.string()), ("record_key", pa.string()), ("parent_key", pa.string()), ("ordinal", pa.int32()), ("depth", pa.int32()), ("body", pa.string())])
 _ESCALATION_FIELDS = {"kind", "attempt", "decision", "reason", "model", "previous_status"}
 _QUESTION_FIELDS = {"id", "question_text", "question_type", "source_type", "sub_questions", "validation", "options", "marks"}
+_space = re.compile(r"[ \t\n\r]*")
+_scalar = re.compile(r"-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][-+]?[0-9]+)?|true|false|null|NaN|-?Infinity")
 _fence = re.compile(r"^`{3,}\w*\s*|\s*`{3,}$")
 
 SCHEMAS: dict[str, T.StructType] = {
@@ -43,6 +45,99 @@ SCHEMAS: dict[str, T.StructType] = {
 }
 
 
+def _read_deep(text: str, at: int) -> tuple[object, int]:
+    """The JSON value that starts at a place of the text, and its end, without recursion."""
+    skip = lambda i: _space.match(text, i).end()
+
+    def name(i: int) -> tuple[str, int]:
+        if text[i:i + 1] != '"':
+            raise ValueError("no key")
+        key, i = json.decoder.scanstring(text, i + 1, False)
+        i = skip(i)
+        if text[i:i + 1] != ":":
+            raise ValueError("no colon")
+        return key, skip(i + 1)
+
+    stack: list[list] = []
+    at = skip(at)
+    while True:
+        c = text[at:at + 1]
+        if c and c in "{[":
+            value, at = {} if c == "{" else [], skip(at + 1)
+            if text[at:at + 1] != ("}" if c == "{" else "]"):
+                stack.append([value, None])
+                if c == "{":
+                    stack[-1][1], at = name(at)
+                continue
+            at += 1
+        elif c == '"':
+            value, at = json.decoder.scanstring(text, at + 1, False)
+        elif m := _scalar.match(text, at):
+            value, at = json.loads(m[0]), m.end()
+        else:
+            raise ValueError("no value")
+        while stack:
+            box, key = stack[-1]
+            keyed = isinstance(box, dict)
+            if keyed:
+                box[key] = value
+            else:
+                box.append(value)
+            at = skip(at)
+            c = text[at:at + 1]
+            if c == ",":
+                at = skip(at + 1)
+                if keyed:
+                    stack[-1][1], at = name(at)
+                break
+            if c != ("}" if keyed else "]"):
+                raise ValueError("not closed")
+            stack.pop()
+            value, at = box, at + 1
+        else:
+            return value, at
+
+
+def _load(text: str):
+    """json.loads for any depth."""
+    try:
+        return json.loads(text, strict=False)
+    except RecursionError:
+        value, end = _read_deep(text, 0)
+        if _space.match(text, end).end() < len(text):
+            raise ValueError("extra data") from None
+        return value
+
+
+def _load_start(text: str, at: int):
+    """The value that starts at a place of the text, whatever follows it, for any depth."""
+    try:
+        return json.JSONDecoder(strict=False).raw_decode(text, at)[0]
+    except RecursionError:
+        return _read_deep(text, at)[0]
+
+
+def _dump(value) -> str:
+    """json.dumps for any depth."""
+    try:
+        return json.dumps(value, ensure_ascii=False)
+    except RecursionError:
+        out, stack = [], [(False, value)]
+    while stack:
+        ready, v = stack.pop()
+        if ready:
+            out.append(v)
+        elif v and isinstance(v, dict):
+            parts = [p for i, (k, x) in enumerate(v.items()) for p in ((True, ("{" if i == 0 else ", ") + json.dumps(k, ensure_ascii=False) + ": "), (False, x))]
+            stack += [*parts, (True, "}")][::-1]
+        elif v and isinstance(v, list):
+            parts = [p for i, x in enumerate(v) for p in ((True, "[" if i == 0 else ", "), (False, x))]
+            stack += [*parts, (True, "]")][::-1]
+        else:
+            out.append(json.dumps(v, ensure_ascii=False))
+    return "".join(out)
+
+
 def read_payload(payload: str | None) -> dict | None:
     """The object in a payload once what is wrapped around it is removed; None if there is none that is whole."""
     for _ in range(4):
@@ -53,17 +148,17 @@ def read_payload(payload: str | None) -> dict | None:
         if not text:
             return None
         try:
-            payload = json.loads(text, strict=False)
+            payload = _load(text)
         except (ValueError, RecursionError):
             start = text.find("{")
             if start <= 0:
                 try:
-                    payload = json.JSONDecoder(strict=False).raw_decode(text)[0] if start == 0 else None
+                    payload = _load_start(text, 0) if start == 0 else None
                 except (ValueError, RecursionError):
                     return None
             else:
                 try:
-                    payload = json.JSONDecoder(strict=False).raw_decode(text, start)[0]
+                    payload = _load_start(text, start)
                 except (ValueError, RecursionError):
                     return None
             if not isinstance(payload, dict):
@@ -84,7 +179,7 @@ def _as_list(value, fields: set[str]) -> list[tuple[str | None, object]]:
         if not isinstance(value, str):
             break
         try:
-            value = json.loads(value, strict=False)
+            value = _load(value)
         except (ValueError, RecursionError):
             return []
     if isinstance(value, list):
@@ -99,14 +194,14 @@ def _as_list(value, fields: set[str]) -> list[tuple[str | None, object]]:
 def _as_object(value):
     if isinstance(value, str) and value.lstrip().startswith("{"):
         try:
-            return json.loads(value, strict=False)
+            return _load(value)
         except (ValueError, RecursionError):
             return None
     return value
 
 
 def _text(value) -> str | None:
-    return value if value is None or isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+    return value if value is None or isinstance(value, str) else _dump(value)
 
 
 def _own_key(value) -> str:

@@ -78,3 +78,26 @@ def test_tables(spark, tmp_path):
 
 def test_empty(spark):
     assert N.links(N.emit(spark.createDataFrame([], "document_id string, payload string"))).count() == 0
+
+
+def test_deep_payloads_are_read():
+    n = 60_000
+    text = "".join('{"id": "q%d", "sub_questions": [' % i for i in range(n)) + "]}" * n
+    deep = "[" * n + "1" + "]" * n
+    for payload in ('{"questions": [%s]}' % text, 'Here: {"questions": [%s]} done' % text):
+        assert len(list(N.visit("d", N.read_payload(payload)))) == n
+    assert N.read_payload('{"questions": [%s]' % text) is None
+    [row] = N.visit("d", N.read_payload('{"questions": [{"id": "q", "options": %s}]}' % deep))
+    assert row[2] == "q" and len(row[-1]) == len(json.dumps({"options": deep}))
+
+
+@pytest.mark.parametrize("text", ['{"a": [1, -2.5e3, true, null, {}, [], "x\\u00e9\\n"], "b": {"c": ""}}', " [ 1 , 2 ] ", '"s"', "0"])
+def test_reader_without_recursion(text):
+    value, end = N._read_deep(text, 0)
+    assert value == json.loads(text) and not text[end:].strip()
+
+
+@pytest.mark.parametrize("text", ["", "[1,]", '{"a"}', '{"a" 1}', "{1: 2}", '{"a": 1,}', "[1 2]", "[", '{"a":', "x", '"s'])
+def test_reader_without_recursion_refuses(text):
+    with pytest.raises(ValueError):
+        N._read_deep(text, 0)
