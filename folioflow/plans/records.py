@@ -13,6 +13,11 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
     return hierarchy.hierarchies(table(spark, sf, "blocks"), table(spark, sf, "hierarchy"))
 
 
+def p1_descendants(spark: SparkSession, sf: str) -> DataFrame:
+    """All descendants of each block or node, with their distance."""
+    return hierarchy.descendants(p1_found(spark, sf))
+
+
 def p1_descendant_counts(spark: SparkSession, sf: str) -> DataFrame:
     """How many descendants each block or node has, and how far down they go."""
     return hierarchy.descendant_counts(p1_found(spark, sf))
@@ -43,7 +48,7 @@ def p5_escalations(spark: SparkSession, sf: str) -> DataFrame:
     return nested.flat_table(nested.emit(table(spark, sf, "canonical_documents")), "escalation")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_descendant_counts, p4_found, p4_orphan_counts, p5_found, p5_questions, p5_escalations)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_descendants, p1_descendant_counts, p4_found, p4_orphan_counts, p5_found, p5_questions, p5_escalations)}
 
 _P1_FOUND = """
 WITH RECURSIVE links AS (

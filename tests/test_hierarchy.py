@@ -103,3 +103,12 @@ def test_child_lists_and_descendants(spark):
 
 def test_empty(spark):
     assert H.hierarchies(spark.createDataFrame([], BLOCKS), spark.createDataFrame([], NODES)).count() == 0
+
+
+def test_descendants_are_a_query(spark, tmp_path):
+    from folioflow.plans import records
+
+    spark.createDataFrame([("d", "a", None), ("d", "b", "a"), ("d", "c", "b")], "document_id string, block_id string, part_of_id string").write.parquet(f"{tmp_path}/blocks.parquet")
+    spark.createDataFrame([("d", "x", ["y"]), ("d", "y", None)], "document_id string, node_id string, children array<string>").write.parquet(f"{tmp_path}/hierarchy.parquet")
+    got = sorted(tuple(r) for r in records.QUERIES["p1_descendants"](spark, str(tmp_path)).collect())
+    assert got == [("hierarchy", "d", "x", "y", 1), ("part_of", "d", "a", "b", 1), ("part_of", "d", "a", "c", 2), ("part_of", "d", "b", "c", 1)]
