@@ -86,13 +86,14 @@ WITH f AS ({_P1_FOUND}), e AS (
 SELECT tree, document_id, ids[pos + 1] AS node_id, count(*) AS n_descendants, CAST(max(depth - pos) AS INTEGER) AS height FROM e GROUP BY ALL
 """
 
-_LABEL = r"^[\s(\[]*(figure|fig|table|tab|equation|eqn|eq)s?\s*\.?\s*[(\[]?\s*(\d+)\s*\.\s*(\d+)"
+# written apart from the operator's pattern, from the wording of the tables: kind in any of its spellings, blanks or brackets, number
+_NAMED = r"(fig(?:ure)?|tab(?:le)?|eq(?:n|uation)?)s?[ \t\n]*\.?[ \t\n]*[(\[]?[ \t\n]*[0-9]+[ \t\n]*\.[ \t\n]*[0-9]+"
 
 
 def _label_sql(c: str) -> str:
-    kind = f"regexp_extract(lower({c}), '{_LABEL}', 1)"
-    number = [f"CAST(CAST(regexp_extract(lower({c}), '{_LABEL}', {i}) AS HUGEINT) AS VARCHAR)" for i in (2, 3)]
-    return f"CASE WHEN {kind} <> '' THEN CASE WHEN {kind} LIKE 'fig%' THEN 'fig' WHEN {kind} LIKE 'tab%' THEN 'table' ELSE 'eq' END || ' ' || {number[0]} || '.' || {number[1]} END"
+    """The key of a text that is such a label and nothing else."""
+    numbers = f"regexp_extract_all({c}, '[0-9]+')"
+    return f"CASE left({c}, 1) WHEN 'f' THEN 'fig ' WHEN 't' THEN 'table ' WHEN 'e' THEN 'eq ' END || CAST({numbers}[1] AS HUGEINT) || '.' || CAST({numbers}[2] AS HUGEINT)"
 
 
 def _id_sql(c: str) -> str:
@@ -104,10 +105,12 @@ WITH refs AS (
   SELECT 'edges' AS ref_table, 'src' AS ref_field, document_id, CAST(edge_id AS VARCHAR) AS ref_key, {_id_sql('src')} AS target_key, created_at AS ref_at FROM edges
   UNION ALL SELECT 'edges', 'dst', document_id, CAST(edge_id AS VARCHAR), {_id_sql('dst')}, created_at FROM edges
   UNION ALL SELECT 'questions', 'answer_block_ids', document_id, question_id, {_id_sql('x')}, associated_at FROM (SELECT *, unnest(answer_association.answer_block_ids) AS x FROM questions)
-  UNION ALL SELECT 'raw_blocks', 'refs', document_id, CAST(raw_id AS VARCHAR), {_label_sql('x')}, extracted_at FROM (SELECT *, unnest(refs) AS x FROM raw_blocks)
+  UNION ALL SELECT 'raw_blocks', 'refs', document_id, CAST(raw_id AS VARCHAR), {_label_sql('x')}, extracted_at
+    FROM (SELECT *, ltrim(unnest(regexp_extract_all(lower(r), '(?:^|[^a-z0-9_])' || '{_NAMED}')), ' ([,;:-/.' || chr(9) || chr(10)) AS x FROM (SELECT *, unnest(refs) AS r FROM raw_blocks))
 ), rows AS (
   SELECT document_id, {_id_sql('block_id')} AS target_key, ingested_at AS first_at, ingested_at, deleted_at IS NOT NULL AS deleted FROM blocks
-  UNION ALL SELECT document_id, {_label_sql('caption')}, NULL, ingested_at, deleted_at IS NOT NULL FROM blocks WHERE caption IS NOT NULL
+  UNION ALL SELECT document_id, {_label_sql('x')}, NULL, ingested_at, deleted_at IS NOT NULL
+    FROM (SELECT *, regexp_extract(ltrim(lower(caption), ' ([' || chr(9) || chr(10)), '^' || '{_NAMED}') AS x FROM blocks WHERE caption IS NOT NULL) WHERE x <> ''
   UNION ALL SELECT document_id, {_id_sql('node_id')}, NULL, NULL, false FROM hierarchy
   UNION ALL SELECT document_id, {_id_sql('question_id')}, NULL, NULL, false FROM questions
   UNION ALL SELECT document_id, 'page_' || page_index, NULL, NULL, false FROM pages
