@@ -102,15 +102,53 @@ def existence_deltas(rows: DataFrame, sign: int = 1) -> DataFrame:
 def merge(*deltas: DataFrame) -> DataFrame:
     """State per key of deltas and earlier states; it has the form of deltas, so states merge again.
 
-    first_ref, first_row and last_row are kept as extremes, so a withdrawn row or
-    reference lowers the counts but not them; rebuild the state after withdrawals
-    if late references matter.
+    first_ref, first_row and last_row are extremes, which a withdrawal can't lower
+    again; apply_changes() takes those of the keys that lost something from what
+    is left.
     """
     return reduce(DataFrame.unionByName, deltas).groupBy("document_id", "target_key").agg(
         F.sum("refs").alias("refs"), F.sum("rows").alias("rows"), F.min("first_ref").alias("first_ref"), F.min("first_row").alias("first_row"), F.max("last_row").alias("last_row"),
     )
 
 
+def apply_changes(
+    state: DataFrame, came_refs: DataFrame, came_rows: DataFrame, gone_refs: DataFrame | None = None, gone_rows: DataFrame | None = None,
+    refs_left: DataFrame | None = None, rows_left: DataFrame | None = None,
+) -> DataFrame:
+    """A stored state after references and records came or were withdrawn.
+
+    Counts follow from the signed deltas alone. Where something was withdrawn, the
+    tables as they are now (refs_left, rows_left) are read for the keys concerned
+    and for no others.
+    """
+    came = merge(state, reference_deltas(came_refs), existence_deltas(came_rows))
+    gone = [d for d in (gone_refs, gone_rows) if d is not None]
+    if not gone:
+        return came
+    if refs_left is None or rows_left is None:
+        raise ValueError("withdrawals need the references and records that are left")
+    key = ["document_id", "target_key"]
+    touched = stage(reduce(DataFrame.unionByName, [d.select(*key) for d in gone]).distinct(), "touched")
+    again = merge(reference_deltas(refs_left.join(touched, key, "left_semi")), existence_deltas(rows_left.join(touched, key, "left_semi")))
+    return came.join(touched, key, "left_anti").unionByName(again)
+
+
+def changed_since(refs: DataFrame, rows: DataFrame, cut: Column) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """References and records from before a time (or without one), and those that came from it on."""
+    later = lambda c: F.coalesce(F.col(c) >= cut, F.lit(False))
+    return refs.filter(~later("ref_at")), rows.filter(~later("ingested_at")), refs.filter(later("ref_at")), rows.filter(later("ingested_at"))
+
+
+def orphan_keys_from_changes(blocks: DataFrame, hierarchy: DataFrame, questions: DataFrame, edges: DataFrame, pages: DataFrame, raw_blocks: DataFrame) -> DataFrame:
+    """The keys with orphan references: the state of all earlier months is stored, and the deltas of the last month are applied to it."""
+    refs, rows = references(edges, questions, raw_blocks), records(blocks, hierarchy, questions, pages)
+    last = rows.agg(F.max("ingested_at").alias("t")).unionByName(refs.agg(F.max("ref_at").alias("t"))).agg(F.date_trunc("month", F.max("t"))).first()[0]
+    old_refs, old_rows, new_refs, new_rows = changed_since(refs, rows, F.lit(last).cast("timestamp"))
+    stored = stage(merge(reference_deltas(old_refs), existence_deltas(old_rows)), "key-state")
+    keys = orphan_keys(apply_changes(stored, new_refs, new_rows))
+    return keys.select("document_id", "target_key", F.col("refs").alias("n_references"), F.coalesce("state", F.lit("late")).alias("reason"))
+
+
 def orphan_keys(state: DataFrame) -> DataFrame:
     """The keys with references that have no record, a deleted one, or one that came after some reference."""
     missing = F.col("rows") <= 0

@@ -33,6 +33,11 @@ def p4_orphan_counts(spark: SparkSession, sf: str) -> DataFrame:
     return references.orphan_counts(p4_found(spark, sf))
 
 
+def p4_orphan_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys with orphan references, from a stored state and the changes of the last month."""
+    return references.orphan_keys_from_changes(*(table(spark, sf, t) for t in ("blocks", "hierarchy", "questions", "edges", "pages", "raw_blocks")))
+
+
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     """Keys of the flat question and escalation tables."""
     return nested.links(nested.emit(table(spark, sf, "canonical_documents")))
@@ -48,7 +53,7 @@ def p5_escalations(spark: SparkSession, sf: str) -> DataFrame:
     return nested.flat_table(nested.emit(table(spark, sf, "canonical_documents")), "escalation")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_descendants, p1_descendant_counts, p4_found, p4_orphan_counts, p5_found, p5_questions, p5_escalations)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_descendants, p1_descendant_counts, p4_found, p4_orphan_counts, p4_orphan_keys, p5_found, p5_questions, p5_escalations)}
 
 _P1_FOUND = """
 WITH RECURSIVE links AS (
@@ -100,8 +105,7 @@ def _id_sql(c: str) -> str:
     return rf"nullif(lower(regexp_replace({c}, '^\s+|\s+$', '', 'g')), '')"
 
 
-_P4_FOUND = f"""
-WITH refs AS (
+_P4_TABLES = f"""WITH refs AS (
   SELECT 'edges' AS ref_table, 'src' AS ref_field, document_id, CAST(edge_id AS VARCHAR) AS ref_key, {_id_sql('src')} AS target_key, created_at AS ref_at FROM edges
   UNION ALL SELECT 'edges', 'dst', document_id, CAST(edge_id AS VARCHAR), {_id_sql('dst')}, created_at FROM edges
   UNION ALL SELECT 'questions', 'answer_block_ids', document_id, question_id, {_id_sql('x')}, associated_at FROM (SELECT *, unnest(answer_association.answer_block_ids) AS x FROM questions)
@@ -117,7 +121,9 @@ WITH refs AS (
 ), known AS (
   SELECT document_id, target_key, min(first_at) AS first_at, arg_max(deleted, (coalesce(ingested_at, TIMESTAMPTZ '0001-01-01'), deleted)) AS deleted
   FROM rows WHERE target_key IS NOT NULL GROUP BY ALL
-)
+)"""
+
+_P4_FOUND = f"""{_P4_TABLES}
 SELECT DISTINCT ref_table, ref_field, r.document_id, ref_key, r.target_key,
   CASE WHEN k.target_key IS NULL THEN 'missing' WHEN k.deleted THEN 'deleted' ELSE 'late' END AS reason,
   coalesce(strftime(ref_at AT TIME ZONE 'UTC', '%Y-%m'), '') AS ref_month
@@ -131,4 +137,11 @@ WITH f AS ({_P4_FOUND})
 SELECT ref_table, ref_field, reason, ref_month, count(*) AS n_references, count(DISTINCT (document_id, target_key)) AS n_targets FROM f GROUP BY ALL
 """
 
-ORACLE = {"p1_found": _P1_FOUND, "p1_descendant_counts": _P1_COUNTS, "p4_found": _P4_FOUND, "p4_orphan_counts": _P4_COUNTS}
+_P4_KEYS = f"""{_P4_TABLES}, named AS (
+  SELECT document_id, target_key, count(*) AS n_references, min(ref_at) AS first_ref FROM refs WHERE target_key IS NOT NULL AND document_id IS NOT NULL AND ref_key IS NOT NULL GROUP BY ALL
+)
+SELECT document_id, target_key, n_references, CASE WHEN deleted IS NULL THEN 'missing' WHEN deleted THEN 'deleted' ELSE 'late' END AS reason
+FROM named LEFT JOIN known USING (document_id, target_key) WHERE coalesce(deleted, true) OR first_at > first_ref
+"""
+
+ORACLE = {"p1_found": _P1_FOUND, "p1_descendant_counts": _P1_COUNTS, "p4_found": _P4_FOUND, "p4_orphan_counts": _P4_COUNTS, "p4_orphan_keys": _P4_KEYS}

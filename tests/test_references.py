@@ -55,6 +55,28 @@ def test_states_merge_like_one_pass(spark):
     assert "c" not in {r.target_key for r in R.orphan_keys(R.merge(R.merge(refs, rows), came)).collect()}
 
 
+def test_changes_with_withdrawals_equal_a_rebuild(spark):
+    blocks, nodes, questions, edges, pages, raw = tables(
+        spark, blocks=[("d", "a", None, T0, None, "x"), ("d", "a", None, T2, None, "x"), ("d", "b", None, T1, T2, "x"), ("d", "c", None, T2, None, "x")],
+        edges=[(1, "d", "a", "b", T1), (2, "d", "c", "a", T0), (3, "d", "c", "e", T2), (4, "d", "b", "c", T2)],
+    )
+    refs, rows = R.references(edges, questions, raw), R.records(blocks, nodes, questions, pages)
+    whole = lambda f, r: {tuple(x) for x in R.orphan_keys(R.merge(R.reference_deltas(f), R.existence_deltas(r))).collect()}
+    state = R.merge(R.reference_deltas(refs), R.existence_deltas(rows))
+    # edge 2 is the only reference before c came, and the first delivery of a the only one in time: both go
+    gone_refs, left_refs = refs.filter("ref_key = '2'"), refs.filter("ref_key <> '2'")
+    first = "target_key = 'a' and month(ingested_at) = 1"
+    gone_rows, left_rows = rows.filter(first), rows.filter(f"not ({first})")
+    after = R.apply_changes(state, refs.limit(0), rows.limit(0), gone_refs, gone_rows, left_refs, left_rows)
+    got = {tuple(x) for x in R.orphan_keys(after).collect()}
+    assert got == whole(left_refs, left_rows)
+    assert {r[1] for r in got} == {"a", "b", "e"}
+    none = tables(spark)
+    assert R.orphan_keys_from_changes(*none).collect() == []
+    both = R.orphan_keys_from_changes(blocks, nodes, questions, edges, pages, raw)
+    assert {(r.target_key, r.reason) for r in both.collect()} == {(k, s or "late") for _, k, _, s, _ in whole(refs, rows)}
+
+
 def test_hot_key_and_counts(spark):
     edges = [(i, "d", "gone", "gone", T1) for i in range(500)]
     counts = [tuple(r) for r in R.orphan_counts(R.orphan_references(*tables(spark, edges=edges))).collect()]
