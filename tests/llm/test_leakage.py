@@ -68,6 +68,8 @@ def test_altered_items(seed):
 @pytest.mark.parametrize("change", [
     str.upper, lambda t: t.replace(" ", "\n"), lambda t: t.replace("e", "e­"), lambda t: t.replace("a", "a​"), lambda t: "<p><b>" + t.replace(" ", "</b> <i>", 1) + "</i></p>", lambda t: t.replace(" ", ""),
     lambda t: " ".join(t), lambda t: "".join(w[:2] + "-\n" + w[2:] + " " for w in t.split()), lambda t: t.replace(" ", "&nbsp;"), lambda t: "**" + t.replace(" ", "** _", 3),
+    lambda t: t.replace(" ", ' <span style="' + "color: red; " * 60 + '">', 1), lambda t: "[" + t.replace(" ", "](https://example.org/" + "a" * 900 + ") ", 1),
+    lambda t: t.replace(" ", " <!-- " + "note " * 200 + "--> ", 2),
 ])
 def test_what_does_not_count(change):
     r = random.Random(5)
@@ -88,6 +90,58 @@ def test_common_words_is_a_longest_common_subsequence():
         assert L.common_words(a, b) == table[-1][-1]
 
 
+def test_letters_of_all_scripts():
+    r = random.Random(11)
+    words = ["".join(r.choice("абвгдежзиклмнопрстуфхцчшщ") for _ in range(r.randint(4, 8))) for _ in range(300)]
+    pool = [(i, " ".join(r.choice(words) for _ in range(40))) for i in range(10)]
+    index = L.ItemIndex(pool)
+    around = " ".join(r.choice(words) for _ in range(60))
+    assert L.leaked_items(index, f"{around} {pool[2][1].upper()}, {around}") == {2}
+    assert L.leaked_items(index, around) == set()
+    assert L.stream("Élan ١٢ Ⅳ") == L.stream("elan 12 iv")
+
+
+def test_any_number_of_q_grams_is_indexed():
+    r = random.Random(12)
+    pool = [(i, " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(12_000))) for i in range(30)]
+    index = L.ItemIndex(pool)
+    assert len(index.codes) > 1 << 21 and index.probes < 40
+    w = pool[17][1].split()
+    assert L.leaked_items(index, " ".join(w[400:414])) == {17}
+
+
+def test_alignment_in_a_band_like_the_whole_matrix():
+    r = random.Random(13)
+    for _ in range(40):
+        words = [w.encode() for w in text(r, 20)]
+        kept = [w if r.random() > 0.2 else b"x" + w[2:] for w in words]
+        s = b"filler" * 5 + b"".join(kept) + b"more" * 8
+        whole = L.aligned_words(words, s, -len(s), len(s))
+        assert L.aligned_words(words, s, 10, 50) == whole
+        same = sum(a == b for a, b in zip(words, kept))
+        assert L.words_in_order(words, s, same) and same - whole[0] <= 2
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_words_run_together_and_misread(seed):
+    r = random.Random(200 + seed)
+    pool = items(r)
+    index = L.ItemIndex(pool)
+    found = 0
+    for i, t in pool[:20]:
+        w = noisy(r, t.split(), 0.2)
+        joined = "".join(x + ("" if r.random() < 0.25 else " ") for x in w)
+        found += i in L.leaked_items(index, " ".join(text(r, 60)) + " " + joined + " " + " ".join(text(r, 60)))
+    assert found == 20
+
+
+def test_blocks_are_bounded(spark):
+    rows = [(i, "w" * (50 if i % 9 else 3000), "y") for i in range(200)]
+    blocks = [b.collect() for b in L.item_blocks(spark.createDataFrame(rows, ITEMS).select("item_id", "text"), 1000)]
+    assert sorted(x.item_id for b in blocks for x in b) == list(range(200))
+    assert all(len(b) == 1 or sum(len(x.text) for x in b) <= 1000 for b in blocks)
+
+
 def test_long_text_in_pieces(monkeypatch):
     monkeypatch.setattr(L, "PIECE_CHARS", 3000)
     r = random.Random(2)
