@@ -51,6 +51,8 @@ Q = 8
 RUN_WORDS = 14
 KEPT_SHARE = 0.75
 STRETCH = 2
+#: an alignment may lose so many characters at either end of what it finds
+EDGE = 16
 #: a q-gram counts for an item if at most so many occurrences are in all items; the next step is taken while an item's bound is below LEAST_BOUND
 COMMON_STEPS = (2, 3, 4, 6, 9, 12, 18, 25, 50, 100, 1 << 30)
 LEAST_BOUND = 20
@@ -256,7 +258,7 @@ def best_in_stretch(item: list[bytes], text: list[bytes], enough: int) -> bool:
 def words_in_order(words: list[bytes], s: bytes, enough: int) -> bool:
     """Whether enough of the words stand in a stream in their order, wherever the stream's own words begin and end.
 
-    A case needs that, and it is cheaper to tell than an alignment, which says whether they stand close enough.
+    A case needs that; it is cheaper to tell than an alignment, which finds the stretch that they must stand in.
     """
     spare = len(words) - enough
     there = [w in s for w in words]
@@ -282,8 +284,8 @@ def words_in_order(words: list[bytes], s: bytes, enough: int) -> bool:
     return True
 
 
-def aligned_words(words: list[bytes], s: bytes, low: int, high: int) -> tuple[int, int]:
-    """Words of the item that a banded alignment with a stream keeps, and the length of the stretch they take.
+def aligned_stretch(words: list[bytes], s: bytes, low: int, high: int) -> tuple[int, int]:
+    """From where to where a stream holds what a banded alignment finds of the item.
 
     Only places of the stream on the diagonals low to high are looked at: the
     place of the item's character i lies between i + low and i + high.
@@ -318,12 +320,8 @@ def aligned_words(words: list[bytes], s: bytes, low: int, high: int) -> tuple[in
             at -= 1
         else:
             i, at = i - 1, at + 1
-    kept, start = 0, 0
-    for w in words:
-        kept += bool((place[start:start + len(w)] >= 0).all())
-        start += len(w)
     used = place[place >= 0]
-    return kept, int(used[-1] - used[0] + 1) if len(used) else 0
+    return (low + int(used[0]), low + int(used[-1]) + 1) if len(used) else (0, 0)
 
 
 def leaked_items(index: ItemIndex, text: str) -> set[int]:
@@ -360,8 +358,8 @@ def leaked_items(index: ItemIndex, text: str) -> set[int]:
             if not words_in_order(words, piece, enough):
                 continue
             budget = sum(sorted(map(len, words), reverse=True)[:len(words) - enough])
-            kept, taken = aligned_words(words, s, low - budget, high + budget)
-            if kept >= enough and taken <= STRETCH * len(index.streams[k]):
+            first, last = aligned_stretch(words, s, low - budget, high + budget)
+            if last - first <= STRETCH * len(index.streams[k]) and words_in_order(words, s[max(0, first - EDGE):last + EDGE], enough):
                 out.add(index.ids[k])
     return out
 

@@ -116,10 +116,10 @@ def test_alignment_in_a_band_like_the_whole_matrix():
         words = [w.encode() for w in text(r, 20)]
         kept = [w if r.random() > 0.2 else b"x" + w[2:] for w in words]
         s = b"filler" * 5 + b"".join(kept) + b"more" * 8
-        whole = L.aligned_words(words, s, -len(s), len(s))
-        assert L.aligned_words(words, s, 10, 50) == whole
-        same = sum(a == b for a, b in zip(words, kept))
-        assert L.words_in_order(words, s, same) and same - whole[0] <= 2
+        first, last = L.aligned_stretch(words, s, -len(s), len(s))
+        assert L.aligned_stretch(words, s, 10, 50) == (first, last)
+        assert abs(first - 30) <= L.EDGE and abs(last - (len(s) - 32)) <= L.EDGE
+        assert L.words_in_order(words, s[max(0, first - L.EDGE):last + L.EDGE], sum(a == b for a, b in zip(words, kept)))
 
 
 @pytest.mark.parametrize("seed", range(4))
