@@ -17,8 +17,12 @@ of them counts. A line that comes again and again is prose only if it is a
 sentence: rich in function words and with a full stop. A pool needs less
 repetition if lines of its page repeat or separators are denser than usual.
 
-The language is told by the function words, and by the lang column only where
-a text has none. Defined results for odd input: null and blank texts and rows
+Function words are a fixed list for five languages; those of any other language
+that the lang column names on ``LEARN_DOCS`` documents or more are learned from
+all of these: its short words that a good share of its documents have. The
+language of a text is told by its function words; where they are too few to
+tell, it is the one that the lang column names. In a language without any list
+a line is prose by its shape: a sentence whose words don't repeat. Defined results for odd input: null and blank texts and rows
 with a null id don't count; very short texts (under ``LEAST_WORDS`` words and
 ``LEAST_LINKS`` link lines) neither; repeated rows give one result; extra
 columns are not looked at; empty tables give an empty result.
@@ -53,6 +57,14 @@ LEAST_WORDS = 20
 LEAST_LINKS = 3
 SPAM_SHARE = 0.5
 LACKING = 0.65
+#: a language is learned from so many documents on: its words of at most so many letters that at least such a share of them has, and at most so many of them
+LEARN_DOCS = 50
+LEARN_LETTERS = 6
+LEARN_SHARE = 0.2
+LEARN_WORDS = 80
+#: the words of a language tell it where they are such a share of a text
+VOTE_SHARE = 0.25
+SHAPE_WORDS, SHAPE_VARIED = 6, 0.7
 #: a line counts as repeated from so many copies on; a page from such a share of copies or so many separators a word above the usual
 OFTEN = 3
 MARKED = 0.2
@@ -60,11 +72,6 @@ MARKED = 0.2
 LEAST_USUAL = 0.35
 CLEAR_SHARE = 0.75
 
-_MASK: dict[str, int] = {}
-for _bit, _words in enumerate(FUNCTION_WORDS.values()):
-    for _w in _words.split():
-        _MASK[_w] = _MASK.get(_w, 0) | 1 << _bit
-_LANGS = list(FUNCTION_WORDS)
 _WORD = re.compile(r"[^\W\d_][\wऀ-ॿ‍]*")
 _LINK = re.compile(r"(?:https?://|www\.)[^\s<>()\[\]'\"]+", re.I)
 _ANCHOR = re.compile(r"</?[A-Za-z][^<>]*>|\[([^\[\]]*)\]\([^()\s]*\)")
@@ -77,7 +84,34 @@ _MEASURES = "doc_id bigint, language string, " + ", ".join(f"{f} double" for f i
 _ARROW = pa.schema([("doc_id", pa.int64()), ("language", pa.string()), *((f, pa.float64()) for f in FIELDS)])
 
 
-def measure(text: str, lang: str | None) -> tuple:
+class Lists:
+    """Function words of several languages, each with a bit."""
+
+    def __init__(self, learned: dict[str, list[str]] | None = None):
+        every = {lang: words.split() for lang, words in FUNCTION_WORDS.items()} | {lang: words for lang, words in (learned or {}).items() if lang not in FUNCTION_WORDS}
+        self.langs = list(every)
+        self.mask: dict[str, int] = {}
+        for bit, words in enumerate(every.values()):
+            for w in words:
+                self.mask[w] = self.mask.get(w, 0) | 1 << bit
+
+    def language(self, votes: Counter, n_words: int, lang: str) -> tuple[str, int | None]:
+        """Language of a text and its bit, by the votes of its words and by the column; no bit where the language has no list."""
+        counts = [sum(n for m, n in votes.items() if m >> b & 1) for b in range(len(self.langs))]
+        best = max(range(len(counts)), key=lambda b: (counts[b], -b))
+        if lang in ("", "und") or lang in self.langs or counts[best] >= VOTE_SHARE * n_words:
+            return (self.langs[best], best) if counts[best] else (lang or "und", 0)
+        return lang, None
+
+
+_FIXED = Lists()
+
+
+def _is_sentence(line: str, words: list[str]) -> bool:
+    return len(words) >= SHAPE_WORDS and len(set(words)) >= SHAPE_VARIED * len(words) and bool(_SENTENCE_END.search(line)) and len(_SEPARATORS.findall(line)) * 4 <= len(words)
+
+
+def measure(text: str, lang: str | None, lists: Lists = _FIXED) -> tuple:
     """Language and measures of one text."""
     lines = [x for x in text.splitlines() if x.strip()]
     parsed = []
@@ -88,12 +122,10 @@ def measure(text: str, lang: str | None) -> tuple:
             links = len(_LINK.findall(line)) or line.count("](")
             bare = _LINK.sub(" ", _ANCHOR.sub(r" \1 ", line))
         words = [w for w in _WORD.findall(bare.lower()) if len(w) > 1]
-        masks = [m for m in map(_MASK.get, words) if m]
+        masks = [m for m in map(lists.mask.get, words) if m]
         votes.update(masks)
         parsed.append((line, links, words, masks))
-    best = max(((sum(n for m, n in votes.items() if m >> b & 1), -b) for b in range(len(_LANGS))), default=(0, 0))
-    bit = -best[1]
-    language = _LANGS[bit] if best[0] else (lang or "und").strip().lower()
+    language, bit = lists.language(votes, sum(len(words) for _, _, words, _ in parsed), (lang or "und").strip().lower())
     n_words = n_function = chars = link_chars = n_links = list_chars = pool_chars = duplicate = 0
     pool: list[str] = []
     grams: Counter[tuple] = Counter()
@@ -103,7 +135,7 @@ def measure(text: str, lang: str | None) -> tuple:
         size = len(line)
         chars += size
         n_words += len(words)
-        function = sum(m >> bit & 1 for m in masks)
+        function = sum(m >> bit & 1 for m in masks) if bit is not None else len(words) // 2 if _is_sentence(line, words) else 0
         n_function += function
         if line in seen:
             duplicate += size
@@ -113,7 +145,7 @@ def measure(text: str, lang: str | None) -> tuple:
         # a long line of sentences has several function words; one that is also used as a keyword doesn't make prose
         varied = True
         if len(words) >= LONG_LINE:
-            varied = function >= SURE_PROSE_SHARE * len(words) or len({w for w in words if _MASK.get(w, 0) >> bit & 1}) >= LEAST_VARIED
+            varied = function >= SURE_PROSE_SHARE * len(words) or bit is not None and len({w for w in words if lists.mask.get(w, 0) >> bit & 1}) >= LEAST_VARIED
             varied = varied and len(set(words)) > min(FEW_WORDS, 0.3 * len(words))
         if words and copies[" ".join(line.lower().split())] >= OFTEN:
             varied = varied and function >= SURE_PROSE_SHARE * len(words) and bool(_SENTENCE_END.search(line))
@@ -137,17 +169,38 @@ def measure(text: str, lang: str | None) -> tuple:
     )
 
 
-def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = [(i, *measure(t, lang)) for i, t, lang in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column("lang").to_pylist())]
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
+def _measure(learned: dict[str, list[str]]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists = Lists(learned)
+        for batch in batches:
+            rows = [(i, *measure(t, lang, lists)) for i, t, lang in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column("lang").to_pylist())]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
+
+    return run
+
+
+def learned_words(docs: DataFrame, least: int = LEARN_DOCS) -> dict[str, list[str]]:
+    """Function words of the languages that have no fixed list, from all of their documents.
+
+    At most LEARN_WORDS words a language are collected, of languages that the
+    lang column names on enough documents.
+    """
+    named = docs.withColumn("lang", F.lower(F.trim("lang"))).filter(~F.col("lang").isin("", "und", *FUNCTION_WORDS))
+    sizes = named.groupBy("lang").agg(F.count(F.lit(1)).alias("docs")).filter(F.col("docs") >= least)
+    langs = {r.lang: r.docs for r in sizes.collect()}
+    if not langs:
+        return {}
+    words = named.filter(F.col("lang").isin(list(langs))).select("lang", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(rf"(?<![\p{{L}}\p{{M}}])([\p{{L}}\p{{M}}]{{2,{LEARN_LETTERS}}})(?![\p{{L}}\p{{M}}])")))).alias("word"))
+    shares = words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")).join(sizes, "lang").filter(F.col("n") >= LEARN_SHARE * F.col("docs"))
+    top = shares.groupBy("lang").agg(F.slice(F.sort_array(F.collect_list(F.struct(F.col("n"), F.col("word"))), asc=False), 1, LEARN_WORDS).alias("top"))
+    return {r.lang: sorted(x.word for x in r.top) for r in top.collect()}
 
 
 def measures(documents: DataFrame) -> DataFrame:
     """The measures of every document, written once."""
     docs = documents.filter("doc_id is not null and trim(text) <> ''").select(F.col("doc_id").cast("bigint"), "text", "lang")
-    return stage(docs.mapInArrow(_measure, _MEASURES), "measures")
+    return stage(docs.mapInArrow(_measure(learned_words(docs)), _MEASURES), "measures")
 
 
 def usual(measured: DataFrame) -> DataFrame:

@@ -86,3 +86,30 @@ def test_copies_and_separators_lower_the_bound(spark):
     rows = [base, base | {"duplicate_share": 0.3}, base | {"separators": 0.35}, base | {"separators": 0.25}, *[usual] * 20]
     df = spark.createDataFrame([(i, "en", *(r[f] for f in S.FIELDS)) for i, r in enumerate(rows)], "doc_id bigint, language string, " + ", ".join(f"{f} double" for f in S.FIELDS))
     assert {r.doc_id for r in S.stuffed(df).collect()} == {1, 2}
+
+
+OTHERS = {
+    "pl": ["Rzeka niesie piasek do morza i zostawia go na brzegu.", "Wiatr podnosi ten piasek i przenosi go na pole.", "Na plaży nie ma trawy, bo sól jest w ziemi.", "To jest wzór, który opisuje ruch wody w rzece.", "Uczeń mierzy, jak szybko płynie woda, a potem to zapisuje."],
+    "it": ["Il fiume porta la sabbia al mare e la lascia sulla riva.", "Il vento alza la sabbia e la porta nei campi.", "Sulla spiaggia non c'è erba perché nel suolo c'è il sale.", "Questa è la formula che descrive il moto dell'acqua.", "Lo studente misura con un filo come scorre l'acqua e poi lo scrive."],
+    "nl": ["De rivier brengt het zand naar de zee en laat het op het strand.", "De wind tilt het zand op en brengt het naar de velden.", "Op het strand is er geen gras omdat er zout in de grond is.", "Dit is de formule die de beweging van het water beschrijft.", "De leerling meet hoe snel het water stroomt en schrijft dat op."],
+    "sv": ["Floden för sanden till havet och lämnar den på stranden.", "Vinden lyfter sanden och för den till fälten.", "På stranden finns det inget gräs för att det är salt i marken.", "Det är den formel som beskriver hur vattnet rör sig.", "Eleven mäter hur fort vattnet rinner och skriver det i boken."],
+    "pt": ["O rio leva a areia para o mar e a deixa na praia.", "O vento levanta a areia e a leva para os campos.", "Na praia não há erva porque há sal no solo.", "Esta é a fórmula que descreve o movimento da água.", "O aluno mede a velocidade com que a água corre e a escreve no caderno."],
+}
+
+
+@pytest.mark.parametrize("n", [4, 60])
+def test_languages_without_a_fixed_list(spark, n):
+    r = random.Random(7)
+    docs, spam = [], set()
+    for k, (lang, sentences) in enumerate(OTHERS.items()):
+        for i in range(n):
+            docs.append((1000 * k + i, " ".join(r.sample(sentences, 4)) + "\n" + " ".join(r.sample(sentences, 3)), lang))
+        words = [w.strip(".,").lower() for s in sentences for w in s.split() if len(w) > 6][:7]
+        for i, t in enumerate((" ".join(r.choice(words) for _ in range(120)), "\n".join(f"{r.choice(words)} {r.choice(words)}" for _ in range(80)), ", ".join(r.choice(words) for _ in range(90)))):
+            docs.append((1000 * k + 900 + i, t, lang))
+            spam.add(1000 * k + 900 + i)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string")
+    learned = S.learned_words(df)
+    assert set(learned) == (set(OTHERS) if n >= S.LEARN_DOCS else set())
+    assert n < S.LEARN_DOCS or {"na", "to"} <= set(learned["pl"]) and {"het", "de"} <= set(learned["nl"])
+    assert {x.doc_id for x in S.stuffed_pages(df).collect()} == spam
