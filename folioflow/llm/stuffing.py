@@ -77,6 +77,7 @@ _LINK = re.compile(r"(?:https?://|www\.)[^\s<>()\[\]'\"]+", re.I)
 _ANCHOR = re.compile(r"</?[A-Za-z][^<>]*>|\[([^\[\]]*)\]\([^()\s]*\)")
 _HASHTAG = re.compile(r"(?:^|\s)#\w+")
 _SENTENCE_END = re.compile(r"[.?!।:][\s\"'”’»)]*$")
+_SENTENCE_BREAK = re.compile(r"[.?!।]+\s")
 _SEPARATORS = re.compile(r"[|•·»;,/#*>]")
 
 FIELDS = ("words", "chars", "function_share", "link_share", "n_links", "list_share", "pool_share", "pool_words", "pool_top", "pool_repeats", "pool_ngrams", "duplicate_share", "separators")
@@ -107,8 +108,15 @@ class Lists:
 _FIXED = Lists()
 
 
-def _is_sentence(line: str, words: list[str]) -> bool:
-    return len(words) >= SHAPE_WORDS and len(set(words)) >= SHAPE_VARIED * len(words) and bool(_SENTENCE_END.search(line)) and len(_SEPARATORS.findall(line)) * 4 <= len(words)
+def _is_sentences(line: str, words: list[str]) -> bool:
+    """Whether most words of a line stand in sentences that don't repeat their words."""
+    if not _SENTENCE_END.search(line) or len(_SEPARATORS.findall(line)) * 4 > len(words):
+        return False
+    varied = 0
+    for part in _SENTENCE_BREAK.split(line):
+        own = [w for w in _WORD.findall(part.lower()) if len(w) > 1]
+        varied += len(own) if len(own) >= SHAPE_WORDS and len(set(own)) >= SHAPE_VARIED * len(own) else 0
+    return 2 * varied >= len(words)
 
 
 def measure(text: str, lang: str | None, lists: Lists = _FIXED) -> tuple:
@@ -135,7 +143,7 @@ def measure(text: str, lang: str | None, lists: Lists = _FIXED) -> tuple:
         size = len(line)
         chars += size
         n_words += len(words)
-        function = sum(m >> bit & 1 for m in masks) if bit is not None else len(words) // 2 if _is_sentence(line, words) else 0
+        function = sum(m >> bit & 1 for m in masks) if bit is not None else len(words) // 2 if _is_sentences(line, words) else 0
         n_function += function
         if line in seen:
             duplicate += size
