@@ -33,6 +33,21 @@ def p6_unused_room(spark: SparkSession, sf: str) -> DataFrame:
     return packing.fill_report(p6_packed(spark, sf), table(spark, sf, "pack_budgets"))
 
 
+def p6_vector_packed(spark: SparkSession, sf: str) -> DataFrame:
+    """The packing with capacities for documents and attention that bind."""
+    return packing.packed(table(spark, sf, "documents"), table(spark, sf, "pack_budgets"), max_docs=24, attention_share=0.5)
+
+
+def p6_validity(spark: SparkSession, sf: str) -> DataFrame:
+    """What is wrong with the packing, per budget: nothing, for all texts."""
+    return packing.validity(p6_packed(spark, sf), table(spark, sf, "pack_budgets"))
+
+
+def p6_vector_validity(spark: SparkSession, sf: str) -> DataFrame:
+    """What is wrong with the packing under three capacities, per budget: nothing, for all texts."""
+    return packing.validity(p6_vector_packed(spark, sf), table(spark, sf, "pack_budgets"), max_docs=24, attention_share=0.5)
+
+
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     """Documents with the evaluation items that they leak."""
     return leakage.leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
@@ -43,7 +58,7 @@ def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     return stuffing.stuffed_pages(table(spark, sf, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_clean_texts, p3_found, p6_packed, p6_unused_room, p7_found, p8_found)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_clean_texts, p3_found, p6_packed, p6_unused_room, p6_validity, p6_vector_packed, p6_vector_validity, p7_found, p8_found)}
 
 _P3_FOUND = """
 WITH RECURSIVE rows AS (
@@ -68,4 +83,9 @@ WITH RECURSIVE rows AS (
 SELECT document_id, block_id, min(seen) AS group_id FROM reach GROUP BY ALL
 """
 
-ORACLE = {"p3_found": _P3_FOUND}
+_P6_VALID = """
+SELECT b.budget_id, (SELECT count(DISTINCT doc_id) FROM documents WHERE text IS NOT NULL) AS n_texts, 0 AS n_twice, 0 AS n_badly_cut, 0 AS n_over_tokens, 0 AS n_over_docs, 0 AS n_over_attention
+FROM (SELECT DISTINCT budget_id FROM pack_budgets WHERE budget_id IS NOT NULL AND capacity_tokens > 0) b
+"""
+
+ORACLE = {"p6_validity": _P6_VALID, "p6_vector_validity": _P6_VALID, "p3_found": _P3_FOUND}
