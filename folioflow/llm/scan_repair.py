@@ -12,12 +12,14 @@ cut at a line end or at the end of a block are joined over them.
 
 Scale: text is read where it lies to count; only unknown forms are joined. The
 blocks are then dealt by document and ``BUCKET_PAGES`` pages, so a document with
-a third of all rows is many tasks' work; each bucket also sees the first
-``AHEAD_PAGES`` pages of the next one as context, and cuts that are still open
-at its end are resolved by a join. Candidates and bigrams travel as rows of the
-bucket that needs them; nothing that grows with the corpus is broadcast or
-collected (the confusion table is: it is bounded by ``MOST_CONFUSIONS``, and
-checked).
+a third of all rows is many tasks' work. A cut word is resumed by one of the
+next ``RESUME_BLOCKS`` texts of its document, and every bucket sees so many
+texts before and after its own as context, wherever they are: what is found
+does not depend on where a bucket ends. Headers are found by their density in
+overlapping stretches of ``STRETCH_PAGES`` pages. Candidates, bigrams, headers
+and the part of the lexicon that cut words need travel as rows of the bucket
+that needs them; nothing that grows with the corpus is broadcast or collected.
+All thresholds on counts go with the number of words of clean text.
 
 Defined results for odd input: rows with a null document_id, raw_id or
 page_index are ignored; null text and latex have no damage; pages without a
@@ -32,26 +34,35 @@ from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioflow.session import stage
 
 BUCKET_PAGES = 32
-AHEAD_PAGES = 4
-#: a word of clean text counts as known from so many occurrences on
+#: a word that is cut at the end of a block is resumed by one of so many following texts
+RESUME_BLOCKS = 12
+#: a word of clean text counts as known from so many occurrences on, and from such a share of all words
 KNOWN_COUNT = 3
+KNOWN_SHARE = 1e-7
 #: a confusion counts from so many different forms on
 CONFUSION_FORMS = 3
-MOST_CONFUSIONS = 2_000
-#: a line is a running header if it stands on two pages and on at least this share of the chapter's pages
-HEADER_SHARE = 0.01
-#: log probability that an unknown form is right as it is, and of a confusion that only a formula command shows
+#: a line is a running header if it stands on two pages, and on at least this share of the scanned pages, of two neighbouring stretches
+STRETCH_PAGES = 32
+HEADER_SHARE = 0.04
+#: a word counts as one of headers from two chapters on, and from such a share of the chapters that have any
+HEADER_WORDS_SHARE = 0.002
+#: a form is as likely to be right as it is as a known word that is seen so many times
+UNSEEN_COUNT = 0.02
 UNSEEN = math.log(2e-8)
+#: weight of the bigrams against the unigrams
+BIGRAM_WEIGHT = 0.8
+#: parts at a line end up to so many letters are looked up with what may follow them
+SHORT_HEAD = 2
 RARE_CONFUSION = 1e-4
 
 WORD = r"[\p{L}\p{N}]+(?:-[\p{L}\p{N}]+)*"
@@ -92,7 +103,7 @@ def _commands(c: Column | str) -> Column:
     return F.regexp_extract_all(c, F.lit(f"({COMMAND})"))
 
 
-def lexicon(blocks: DataFrame, rows: DataFrame) -> DataFrame:
+def word_counts(blocks: DataFrame, rows: DataFrame) -> DataFrame:
     """word and n of clean text: earlier blocks and born-digital chapters; commands of formulas with their backslash."""
     clean = rows.filter(~F.col("scanned"))
     texts = blocks.select("text").unionByName(clean.select("text")).filter("text is not null")
@@ -102,6 +113,12 @@ def lexicon(blocks: DataFrame, rows: DataFrame) -> DataFrame:
     return words.unionByName(commands).groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= KNOWN_COUNT)
 
 
+def lexicon(counts: DataFrame) -> tuple[DataFrame, float]:
+    """The words that count as known, and the number of all words."""
+    total = float(counts.agg(F.sum("n")).first()[0] or 1)
+    return counts.filter(F.col("n") >= KNOWN_SHARE * total), total
+
+
 def unknown_forms(rows: DataFrame, known: DataFrame) -> DataFrame:
     """document_id, bucket, prev, form and next of the words of scanned pages that clean text lacks, with their number.
 
@@ -157,75 +174,43 @@ def confusions(pairs: DataFrame, known: DataFrame) -> DataFrame:
     return found.join(letters, "meant").select("seen", "meant", p.alias("p")).orderBy(F.desc("p"), "seen", "meant")
 
 
-def candidate_words(form: str, table: dict[str, list[tuple[str, float]]], longest: int) -> dict[str, float]:
-    """What a form may stand for, by up to two confusions that don't overlap, with log probabilities."""
-    once: list[tuple[str, int, float]] = []
-    for i in range(1 if form.startswith("\\") else 0, len(form)):
-        for size in range(1, longest + 1):
-            for meant, p in table.get(form[i:i + size], ()) if i + size <= len(form) else ():
-                once.append((form[:i] + meant + form[i + size:], i + len(meant), p))
-    out: dict[str, float] = {}
-    for word, _, p in once:
-        out[word] = max(out.get(word, -99.0), p)
-    for word, after, p in once:
-        for i in range(after, len(word)):
-            for size in range(1, longest + 1):
-                for meant, q in table.get(word[i:i + size], ()) if i + size <= len(word) else ():
-                    twice = word[:i] + meant + word[i + size:]
-                    out[twice] = max(out.get(twice, -99.0), p + q)
-    return out
-
-
-def _candidates(table: dict[str, list[tuple[str, float]]]):
-    schema = pa.schema([("form", pa.string()), ("word", pa.string()), ("log_p", pa.float64())])
-    longest = max(map(len, table), default=1)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[tuple] = []
-            for form in batch.column("form").to_pylist():
-                out += [(form, w, p) for w, p in candidate_words(form, table, longest).items()]
-                if len(out) > 50_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
-                    out = []
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+def _confused(rows: DataFrame, table: DataFrame, first: Column, longest: int) -> DataFrame:
+    """form, word, after and log_p of rows with those columns, with one more confusion undone from a place on."""
+    at = rows.filter(first <= F.length("word")).withColumn("i", F.explode(F.sequence(first, F.length("word")))).withColumn("size", F.explode(F.sequence(F.lit(1), F.lit(longest))))
+    at = at.filter(F.col("i") + F.col("size") - 1 <= F.length("word")).withColumn("seen", F.substring("word", F.col("i"), F.col("size")))
+    word = F.concat(F.substring("word", F.lit(1), F.col("i") - 1), F.col("meant"), F.substring("word", F.col("i") + F.col("size"), F.length("word")))
+    return at.join(table, "seen").select("form", word.alias("word"), (F.col("i") + F.length("meant")).alias("after"), (F.col("log_p") + F.log("p")).alias("log_p"))
 
-    return run
 
-
-def candidates(forms: DataFrame, known: DataFrame) -> DataFrame:
-    """form, word and score (channel and unigram log probability) of what beats an unseen word."""
+def candidates(forms: DataFrame, known: DataFrame, total: float) -> DataFrame:
+    """form, word, log_p of the channel and log_n of the word, of what beats an unseen word; up to two confusions that don't overlap."""
     pairs = stage(one_confusion(forms, known), "pairs")
-    top = confusions(pairs, known).limit(MOST_CONFUSIONS + 1).collect()
-    if len(top) > MOST_CONFUSIONS:
-        raise ValueError(f"more than {MOST_CONFUSIONS} character confusions: the scanned pages share no alphabet with the clean ones")
-    table: dict[str, list[tuple[str, float]]] = defaultdict(list)
-    for seen, meant, p in top:
-        table[seen].append((meant, math.log(p)))
-    guessed = forms.select("form").mapInArrow(_candidates(dict(table)), "form string, word string, log_p double")
+    table = stage(confusions(pairs, known), "confusions")
+    longest = table.agg(F.max(F.length("seen"))).first()[0] or 1
+    unseen = math.log(UNSEEN_COUNT / total)
+    # a form that is longer than every known word and two confusions can't be one
+    most = (known.agg(F.max(F.length("word"))).first()[0] or 0) + 4
+    start = forms.filter(F.length("form") <= most).select("form", F.col("form").alias("word"), F.lit(0.0).alias("log_p"))
+    once = _confused(start, table, F.when(F.col("form").startswith("\\"), 2).otherwise(1), longest).filter(F.col("log_p") > unseen)
+    twice = _confused(once, table, F.col("after"), longest).filter(F.col("log_p") > unseen)
     rare = pairs.filter(F.col("form").startswith("\\")).select("form", "word", F.lit(math.log(RARE_CONFUSION)).alias("log_p"))
-    total = float(known.agg(F.sum("n")).first()[0] or 1)
+    guessed = once.select("form", "word", "log_p").unionByName(twice.select("form", "word", "log_p")).unionByName(rare)
     prior = known.select("word", F.log(F.col("n") / F.lit(total)).alias("log_n"))
-    scored = guessed.unionByName(rare).groupBy("form", "word").agg(F.max("log_p").alias("log_p")).join(prior, "word")
-    command = F.col("form").startswith("\\")
-    return scored.select("form", "word", (F.col("log_p") + F.col("log_n")).alias("score")).filter(command | (F.col("score") > UNSEEN))
+    scored = guessed.join(prior, "word").groupBy("form", "word").agg(F.max("log_p").alias("log_p"), F.max("log_n").alias("log_n"))
+    return scored.filter(F.col("form").startswith("\\") | (F.col("log_p") + F.col("log_n") > unseen))
 
 
-def bigram_rows(unknown: DataFrame, fixes: DataFrame, blocks: DataFrame, rows: DataFrame, known: DataFrame) -> DataFrame:
-    """document_id, bucket, a, b and log_p: bigrams around the forms with several candidates, as often as clean text has them."""
-    several = fixes.groupBy("form").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("form")
-    around = unknown.join(several, "form").join(fixes.select("form", "word"), "form")
+def bigram_rows(unknown: DataFrame, fixes: DataFrame, blocks: DataFrame, rows: DataFrame, known: DataFrame, total: float) -> DataFrame:
+    """document_id, bucket, a, b and lift of the bigrams around the forms with candidates: log of how much likelier b is after a than anywhere."""
+    around = unknown.join(fixes.filter(~F.col("form").startswith("\\")).select("form", "word"), "form")
     pairs = around.select("document_id", "bucket", F.explode(F.array(F.struct(F.col("prev").alias("a"), F.col("word").alias("b")), F.struct(F.col("word").alias("a"), F.col("next").alias("b")))).alias("p"))
     pairs = stage(pairs.select("document_id", "bucket", "p.a", "p.b").filter("a <> '' and b <> ''").distinct(), "grams")
-    texts = blocks.select("text").unionByName(rows.filter(~F.col("scanned")).select("text")).filter("text is not null").select(_words("text").alias("w"))
-    grams = texts.select(F.inline(F.expr("transform(sequence(1, size(w) - 1), i -> struct(get(w, i - 1) as a, get(w, i) as b))"))) if pairs.limit(1).count() else None
-    if grams is None:
-        return pairs.withColumn("log_p", F.lit(0.0)).limit(0)
-    wanted = pairs.select("a", "b").distinct()
-    counts = grams.join(wanted, ["a", "b"], "left_semi").groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"))
-    first = known.select(F.col("word").alias("a"), "n")
-    return pairs.join(counts, ["a", "b"]).join(first, "a").select("document_id", "bucket", "a", "b", F.log(F.col("c") / F.col("n")).alias("log_p"))
+    texts = blocks.select("text").unionByName(rows.filter(~F.col("scanned")).select("text")).filter("text is not null").select(_words("text").alias("w")).filter(F.size("w") > 1)
+    grams = texts.select(F.inline(F.expr("transform(sequence(1, size(w) - 1), i -> struct(get(w, i - 1) as a, get(w, i) as b))")))
+    counts = grams.join(pairs.select("a", "b").distinct(), ["a", "b"], "left_semi").groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"))
+    times = lambda c: known.select(F.col("word").alias(c), F.col("n").alias(f"n_{c}"))
+    lifts = counts.join(times("a"), "a").join(times("b"), "b").select("a", "b", F.log(F.col("c") * F.lit(total) / (F.col("n_a") * F.col("n_b"))).alias("lift"))
+    return pairs.join(lifts, ["a", "b"]).select("document_id", "bucket", "a", "b", "lift")
 
 
 # ---------------------------------------------------------------- headers and page numbers
@@ -236,7 +221,7 @@ def _header_key(c: Column) -> Column:
 
 
 def chapter_facts(rows: DataFrame, pages: DataFrame) -> DataFrame:
-    """document_id, page_offset, title and headers (keys of running headers) of every scanned chapter."""
+    """document_id, page_offset and title of every scanned chapter."""
     scanned = rows.filter("scanned")
     own = F.regexp_extract("text", r"(?i)^\s*(?:page|p\.?|pg\.?)?\s*[-|\[(]*\s*(\d{1,6})\s*[-|\])]*\s*$", 1)
     votes = scanned.filter("text is not null").select("document_id", (own.try_cast("int") - F.col("page_index")).alias("off"), F.lit(1).alias("v")).filter("off is not null")
@@ -244,26 +229,42 @@ def chapter_facts(rows: DataFrame, pages: DataFrame) -> DataFrame:
     offset = votes.unionByName(printed).groupBy("document_id", "off").agg(F.sum("v").alias("v")).groupBy("document_id").agg(F.max_by("off", F.struct("v", -F.col("off"))).alias("page_offset"))
     titled = (F.lower("block_type") == "chapter") | (F.col("heading_level") == 0)
     title = scanned.filter(titled & F.col("text").isNotNull()).groupBy("document_id").agg(F.min_by("text", F.struct("page_index", "block_ix", "text")).alias("title"))
+    return offset.join(title, "document_id", "full")
+
+
+def _stretches(page: Column) -> Column:
+    """The overlapping stretches, of twice STRETCH_PAGES pages each, that a page lies in."""
+    at = F.floor(page / STRETCH_PAGES).cast("int")
+    return F.when(at > 0, F.array(at - 1, at)).otherwise(F.array(at))
+
+
+def running_headers(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    """document_id, stretch and key of the running headers of every stretch of pages."""
+    scanned = rows.filter("scanned")
     lines = scanned.filter("text is not null").select("document_id", "page_index", F.explode(F.split("text", "\n")).alias("line"))
     tail = F.regexp_replace("line", r"(?i)\s{2,}(?:page|p\.?|pg\.?)?\s*[-|\[(]*\s*\d{1,6}\s*[-|\])]*\s*$", "")
     lines = lines.select("document_id", "page_index", F.trim(tail).alias("line")).filter(F.col("line").rlike(HEADER_LINE))
     lines = lines.filter(F.regexp_count("line", F.lit(r"\b\p{Lu}")) > 1)
     keys = lines.withColumn("key", _header_key(F.col("line"))).filter(F.length("key") >= 6)
-    spread = stage(keys.groupBy("document_id", "key").agg(F.countDistinct("page_index").alias("n_pages"), F.min("line").alias("line")), "headers")
-    # in a long chapter a heading may come twice by chance: a running header comes on a share of the scanned pages
-    sizes = scanned.groupBy("document_id").agg(F.countDistinct("page_index").alias("all_pages"))
-    again = spread.join(sizes, "document_id").filter(F.col("n_pages") >= F.greatest(F.lit(2), HEADER_SHARE * F.col("all_pages"))).select("document_id", "key", "n_pages", "line")
-    single = spread.join(again.select("document_id", "key"), ["document_id", "key"], "left_anti")
+    per_page = keys.groupBy("document_id", "key", "page_index").agg(F.min("line").alias("line"))
+    spread = per_page.withColumn("stretch", F.explode(_stretches(F.col("page_index")))).groupBy("document_id", "key", "stretch").agg(F.count(F.lit(1)).alias("n_pages"), F.min("line").alias("line"))
+    sizes = scanned.select("document_id", "page_index").distinct().withColumn("stretch", F.explode(_stretches(F.col("page_index")))).groupBy("document_id", "stretch").agg(F.count(F.lit(1)).alias("all_pages"))
+    spread = spread.join(sizes, ["document_id", "stretch"])
+    spread = stage(spread.withColumn("again", F.col("n_pages") >= F.greatest(F.lit(2), HEADER_SHARE * F.col("all_pages"))), "headers")
+    again = spread.filter("again")
+    single = spread.join(again.select("document_id", "key").distinct(), ["document_id", "key"], "left_anti")
     # a line seen once, or on too few pages, is a header if all its words, or what they are damaged from, are words of headers that are seen again in other chapters
-    words = lambda df: df.select("document_id", "key", F.explode(F.array_distinct(_words("line"))).alias("word")).filter(~F.col("word").rlike("^[0-9]+$"))
-    titles = title.select("document_id", _header_key(F.col("title")).alias("key"))
-    common = words(again.join(titles, ["document_id", "key"], "left_anti")).groupBy("word").agg(F.countDistinct("document_id").alias("d")).filter("d > 1")
+    words = lambda df: df.groupBy("document_id", "key").agg(F.min("line").alias("line")).select("document_id", "key", F.explode(F.array_distinct(_words("line"))).alias("word")).filter(~F.col("word").rlike("^[0-9]+$"))
+    titles = facts.filter("title is not null").select("document_id", _header_key(F.col("title")).alias("key"))
+    common = words(again.join(titles, ["document_id", "key"], "left_anti")).groupBy("word").agg(F.countDistinct("document_id").alias("d"))
+    chapters = again.agg(F.countDistinct("document_id")).first()[0]
+    common = common.filter(F.col("d") >= max(2, HEADER_WORDS_SHARE * chapters))
     near = F.explode(F.expr("array_union(array(word), transform(sequence(1, length(word)), i -> concat(substring(word, 1, i - 1), substring(word, i + 1))))")).alias("near")
-    hit = words(single).select("document_id", "key", "word", near).join(common.select(near).distinct(), "near").select("document_id", "key", "word").distinct()
-    full = words(single).groupBy("document_id", "key").agg(F.count(F.lit(1)).alias("c")).join(hit.groupBy("document_id", "key").agg(F.count(F.lit(1)).alias("h")), ["document_id", "key"])
-    headers = again.select("document_id", "key").unionByName(full.filter("c = h and c > 1").select("document_id", "key"))
-    headers = headers.groupBy("document_id").agg(F.array_sort(F.collect_set("key")).alias("headers"))
-    return offset.join(title, "document_id", "full").join(headers, "document_id", "full")
+    asked = stage(words(single), "asked")
+    hit = asked.select("document_id", "key", "word", near).join(common.select(near).distinct(), "near").select("document_id", "key", "word").distinct()
+    full = asked.groupBy("document_id", "key").agg(F.count(F.lit(1)).alias("c")).join(hit.groupBy("document_id", "key").agg(F.count(F.lit(1)).alias("h")), ["document_id", "key"])
+    rescued = single.join(full.filter("c = h and c > 1").select("document_id", "key"), ["document_id", "key"], "left_semi")
+    return again.select("document_id", "stretch", "key").unionByName(rescued.select("document_id", "stretch", "key"))
 
 
 def within_edits(a: str, b: str, most: int) -> bool:
@@ -285,9 +286,9 @@ def within_edits(a: str, b: str, most: int) -> bool:
 
 
 class Chapter:
-    """What furniture looks like in one chapter."""
+    """What furniture looks like in one chapter, or in one stretch of its pages."""
 
-    def __init__(self, offset: int | None, title: str | None, headers: list[str] | None):
+    def __init__(self, offset: int | None, title: str | None, headers: Iterable[str] | None):
         self.offset = offset
         self.title = self.key(title or "")
         # a header that is itself damaged matches the better attested ones; all of them are kept
@@ -323,14 +324,35 @@ class Chapter:
         return {"header"} if self.is_header(line) else set()
 
 
+class Stretches:
+    """The furniture of a bucket, page by page."""
+
+    def __init__(self, offset: int | None, title: str | None, headers: dict[int, set[str]]):
+        self.facts, self.headers = (offset, title), headers
+        self.made: dict[int, Chapter] = {}
+
+    def at(self, page: int) -> Chapter:
+        stretch = page // STRETCH_PAGES
+        if stretch not in self.made:
+            self.made[stretch] = Chapter(*self.facts, self.headers.get(stretch - 1, set()) | self.headers.get(stretch, set()))
+        return self.made[stretch]
+
+
 # ---------------------------------------------------------------- decoding
 
 
-def decode_line(words: list[str], fixes: dict[str, list[tuple[str, float]]], grams: dict[tuple[str, str], float]) -> list[str]:
-    """Viterbi over the candidates of a line's words; words without candidates stay."""
-    choices = [[(w, UNSEEN), *fixes[w]] if w in fixes else [(w, 0.0)] for w in words]
+def decode_line(words: list[str], fixes: dict[str, list[tuple[str, float]]], grams: dict[tuple[str, str], float], unseen: float = UNSEEN) -> list[str]:
+    """Viterbi over the candidates of a line's words; words without candidates stay.
+
+    fixes: candidates with log probability of channel and word; grams: log of how
+    much likelier the second word is after the first. The likelihood of a word is
+    the mixture of its bigram and unigram probabilities.
+    """
+    choices = [[(w, unseen), *fixes[w]] if w in fixes else [(w, 0.0)] for w in words]
     if all(len(c) == 1 for c in choices):
         return words
+    alone = math.log(1 - BIGRAM_WEIGHT)
+    after = lambda a, b: math.log(BIGRAM_WEIGHT * math.exp(grams[a, b]) + 1 - BIGRAM_WEIGHT) if (a, b) in grams else alone
     paths = [(score, [w]) for w, score in choices[0]]
     for options in choices[1:]:
         if len(options) == 1 and len(paths) == 1:
@@ -338,8 +360,7 @@ def decode_line(words: list[str], fixes: dict[str, list[tuple[str, float]]], gra
             continue
         step = []
         for w, score in options:
-            # an attested bigram outweighs the unigram part of the word that it leads to
-            best = max(((s + grams.get((p[-1], w), 0.0) * 0.5 + (4.0 if (p[-1], w) in grams else 0.0), p) for s, p in paths), key=lambda x: (x[0], x[1]))
+            best = max(((s + after(p[-1], w), p) for s, p in paths), key=lambda x: (x[0], x[1]))
             step.append((best[0] + score, [*best[1], w]))
         paths = step
     return max(paths, key=lambda x: (x[0], x[1]))[1]
@@ -363,13 +384,14 @@ def join_parts(first: str, second: str, known: dict[str, float]) -> tuple[str, b
     return (near[0], True) if len(near) == 1 else (plain, False)
 
 
-def repair_bucket(blocks: list[dict], chapter: Chapter, fixes: dict, grams: dict, known: dict, with_text: bool) -> list[tuple]:
+def repair_bucket(blocks: list[dict], chapters: Stretches, fixes: dict, grams: dict, known: dict, with_text: bool, unseen: float = UNSEEN) -> list[tuple]:
     """Damage rows (raw_id, raw_field, kind, repaired) of the blocks of one bucket in reading order, and repaired texts."""
     out: set[tuple] = set()
     texts: dict[int, str] = {}
     order: list[dict] = []
     for b in blocks:
         lines = []
+        chapter = chapters.at(b["page_index"])
         for line in (b["text"] or "").split("\n"):
             kinds = chapter.furniture(line, b["page_index"]) if line.strip() else set()
             if "header" in kinds and (b["block_type"] or "").lower() == "chapter" and chapter.key(line) == chapter.title:
@@ -394,7 +416,8 @@ def repair_bucket(blocks: list[dict], chapter: Chapter, fixes: dict, grams: dict
                 if n + 1 < len(lines):
                     after = [(b, lines[n + 1])]
                 else:
-                    after = [(x, x["lines"][0]) for x in order[at + 1:] if x["running"]]
+                    texts_after = islice((x for x in islice(order, at + 1, None) if x["text"] is not None and x["latex"] is None), RESUME_BLOCKS)
+                    after = [(x, x["lines"][0]) for x in texts_after if x["running"]]
                 chosen = None
                 for x, following in after:
                     m = _word.match(following.lstrip())
@@ -411,12 +434,10 @@ def repair_bucket(blocks: list[dict], chapter: Chapter, fixes: dict, grams: dict
                     if chosen[0] is not b:
                         chosen[0]["skip"] = 1
                         b["goes_on"] = chosen[0]["raw_id"]
-                elif n + 1 == len(lines):
-                    out.add((b["raw_id"], "text", "open", tail, b["context"]))
             use = tokens[carry:len(tokens) - (joined is not None)]
             low = [t[0].lower() for t in use]
             if any(w in fixes for w in low):
-                result = decode_line(low, fixes, grams)
+                result = decode_line(low, fixes, grams, unseen)
             else:
                 result = low
             new, end = [], tokens[carry - 1][2] if carry and tokens else 0
@@ -488,16 +509,15 @@ def _latex_edits(latex: str, fixes: dict, known: dict) -> list[tuple[str, str]]:
 
 _DAMAGE = "raw_id bigint, raw_field string, kind string, repaired string"
 _ARROW = pa.schema([("raw_id", pa.int64()), ("raw_field", pa.string()), ("kind", pa.string()), ("repaired", pa.string())])
-_STREAM = ("document_id", "bucket", "what", "page_index", "block_ix", "raw_id", "block_type", "heading_level", "text", "latex", "context", "a", "b", "score", "page_offset", "title", "headers")
+#: what a row of the stream is, in the order in which a bucket reads them
+KNOWN, FIX, GRAM, HEADER, FACTS, BLOCK = range(6)
+_STREAM = ("document_id", "bucket", "what", "page_index", "block_ix", "raw_id", "block_type", "heading_level", "text", "latex", "context", "a", "b", "score", "number")
 
 
-def _repair(with_text: bool):
+def _repair(with_text: bool, unseen: float):
     def finish(held: dict) -> list[tuple]:
-        seen: dict[int, dict] = {}
-        for b in held["blocks"]:
-            if b["raw_id"] not in seen or b["context"] < seen[b["raw_id"]]["context"]:
-                seen.setdefault(b["raw_id"], b)
-        return repair_bucket(list(seen.values()), Chapter(*held["facts"]), held["fixes"], held["grams"], held["known"], with_text)
+        chapters = Stretches(held["offset"], held["title"], held["headers"])
+        return repair_bucket(held["blocks"], chapters, held["fixes"], held["grams"], held["known"], with_text, unseen)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, rows = None, None, []
@@ -506,19 +526,22 @@ def _repair(with_text: bool):
                 if r[:2] != key:
                     if held and held["blocks"]:
                         rows += finish(held)
-                    key, held = r[:2], {"blocks": [], "fixes": {}, "grams": {}, "known": {}, "facts": (None, None, None)}
+                    key, held = r[:2], {"blocks": [], "fixes": {}, "grams": {}, "known": {}, "headers": {}, "offset": None, "title": None}
                     if len(rows) >= 20_000:
                         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
                         rows = []
-                what = r[2]
-                if what == 1:
-                    held["fixes"].setdefault(r[11], []).append((r[12], r[13]))
-                elif what == 2:
-                    held["grams"][r[11], r[12]] = r[13]
-                elif what == 0:
-                    held["known"][r[11]] = r[13]
+                what, a, b, score, number = r[2], *r[11:]
+                if what == KNOWN:
+                    held["known"][a] = score
+                elif what == FIX:
+                    held["fixes"].setdefault(a, []).append((b, score))
+                elif what == GRAM:
+                    held["grams"][a, b] = score
+                elif what == HEADER:
+                    held["headers"].setdefault(number, set()).add(a)
+                elif what == FACTS:
+                    held["offset"], held["title"] = number, a
                 else:
-                    held["facts"] = (r[14], r[15], r[16])
                     held["blocks"].append({"page_index": r[3], "raw_id": r[5], "block_type": r[6], "heading_level": r[7], "text": r[8], "latex": r[9], "context": r[10]})
         if held and held["blocks"]:
             rows += finish(held)
@@ -528,63 +551,98 @@ def _repair(with_text: bool):
     return run
 
 
-def known_rows(rows: DataFrame, known: DataFrame) -> DataFrame:
+def placed_blocks(rows: DataFrame) -> DataFrame:
+    """The scanned blocks, each once, with their bucket, the number of texts before theirs in it, and of all texts in it."""
+    placed = rows.filter("scanned").drop("scanned").withColumn("bucket", F.floor(F.col("page_index") / BUCKET_PAGES).cast("int"))
+    inside = Window.partitionBy("document_id", "bucket").orderBy("page_index", "block_ix", "raw_id")
+    once = placed.withColumn("again", F.coalesce(F.lag("raw_id").over(inside) == F.col("raw_id"), F.lit(False))).filter("not again").drop("again")
+    running = F.when(F.col("text").isNotNull() & F.col("latex").isNull(), 1).otherwise(0)
+    so_far = F.sum(running).over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    return once.withColumns({"before": so_far - running, "texts": F.sum(running).over(Window.partitionBy("document_id", "bucket"))})
+
+
+def with_context(placed: DataFrame) -> DataFrame:
+    """The blocks of every bucket (context 0) with the RESUME_BLOCKS texts before and after its own (context 1), in whatever buckets they lie."""
+    sizes = placed.filter("texts > 0").groupBy("document_id", "bucket").agg(F.max("texts").alias("n"))
+    order = Window.partitionBy("document_id").orderBy("bucket")
+    near = sizes.select(
+        "document_id", "bucket", F.collect_list(F.struct("bucket", "n")).over(order.rowsBetween(1, RESUME_BLOCKS)).alias("next"),
+        F.reverse(F.collect_list(F.struct("bucket", "n")).over(order.rowsBetween(-RESUME_BLOCKS, -1))).alias("last"),
+    )
+    # of the i-th bucket from here as many texts are needed as those between leave
+    needed = "posexplode(transform({0}, (x, i) -> struct(x.bucket as there, int({1} - aggregate(slice({0}, 1, i), 0L, (a, y) -> a + y.n)) as need)))"
+    wanted = [
+        near.select("document_id", "bucket", F.expr(needed.format(side, RESUME_BLOCKS)).alias("i", "x")).select("document_id", F.col("bucket").alias("to"), F.col("x.there").alias("bucket"), F.col("x.need").alias("need"), F.lit(side == "next").alias("forward"))
+        for side in ("next", "last")
+    ]
+    wanted = wanted[0].unionByName(wanted[1]).filter("need > 0")
+    texts = placed.filter("text is not null and latex is null").withColumn("left", F.col("texts") - F.col("before") - 1).filter((F.col("before") < RESUME_BLOCKS) | (F.col("left") < RESUME_BLOCKS))
+    around = texts.join(wanted, ["document_id", "bucket"]).filter(F.when(F.col("forward"), F.col("before")).otherwise(F.col("left")) < F.col("need"))
+    cols = ("page_index", "block_ix", "raw_id", "block_type", "heading_level", "text", "latex")
+    own = placed.select("document_id", "bucket", *cols, F.lit(0).alias("context"))
+    return own.unionByName(around.select("document_id", F.col("to").alias("bucket"), *cols, F.lit(1).alias("context")))
+
+
+def known_rows(stream: DataFrame, known: DataFrame) -> DataFrame:
     """document_id, bucket, a and score: what a bucket has to know of the lexicon, to join cut words and to read commands.
 
-    These are the known words that start with a part at a line end, the known
+    These are the known words that start with a part at a line end (with a very
+    short part only those that go on like a text that may resume it), the known
     commands, and those that a blank has cut.
     """
-    scanned = rows.filter("scanned").select("document_id", F.floor(F.col("page_index") / BUCKET_PAGES).cast("int").alias("bucket"), "text", "latex")
-    heads = scanned.filter("text is not null").select("document_id", "bucket", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(rf"({WORD})[{HYPHENS}][ \t]*(?:\r?\n|$)"))).alias("head")).distinct()
+    texts = stream.filter("text is not null").select("document_id", "bucket", "page_index", "block_ix", "raw_id", F.split(F.lower("text"), "\n").alias("l"))
+    # of each line the part that it ends in, and the word that it begins with
+    ends = F.transform("l", lambda x: F.regexp_extract(x, rf"({WORD})[{HYPHENS}]\s*$", 1))
+    begins = F.transform("l", lambda x: F.regexp_extract(x, rf"^\s*({WORD})", 1))
+    parts = texts.withColumns({"e": ends, "s": begins})
+    heads = parts.select("document_id", "bucket", F.explode("e").alias("head")).filter(F.length("head") > SHORT_HEAD)
+    # a short part inside a text is resumed by one of the next three lines, at its end by one of the first lines of the next texts
+    inside = parts.select("document_id", "bucket", F.explode(F.expr("flatten(transform(e, (x, i) -> transform(slice(s, i + 2, 3), y -> struct(x as head, y as tail))))")).alias("p"))
+    following = Window.partitionBy("document_id", "bucket").orderBy("page_index", "block_ix", "raw_id").rowsBetween(1, RESUME_BLOCKS)
+    short = F.col("head").rlike(f"^.{{1,{SHORT_HEAD}}}$")
+    over = parts.withColumn("head", F.element_at("e", -1)).select("document_id", "bucket", "head", F.flatten(F.collect_list(F.slice("s", 1, 3)).over(following)).alias("tails")).filter(short)
+    over = over.select("document_id", "bucket", "head", F.explode("tails").alias("tail"))
+    pairs = inside.select("document_id", "bucket", "p.*").filter(short).unionByName(over).filter("tail <> ''")
+    whole = pairs.select("document_id", "bucket", F.explode(F.array(F.concat("head", F.substring("tail", 1, 2)), F.concat("head", F.lit("-"), F.substring("tail", 1, 1)))).alias("head"))
+    keys = heads.unionByName(whole).distinct()
     words = known.filter(~F.col("word").startswith("\\"))
     starts = words.select("word", "n", F.explode(F.expr("transform(sequence(1, length(word)), i -> substring(word, 1, i))")).alias("head"))
-    found = heads.join(starts, "head").select("document_id", "bucket", "word", "n")
-    formulas = scanned.filter("latex is not null")
-    whole = formulas.select("document_id", "bucket", F.explode(_commands("latex")).alias("word"))
+    found = keys.join(starts, "head").select("document_id", "bucket", "word", "n")
+    formulas = stream.filter("latex is not null and context = 0")
+    commands = formulas.select("document_id", "bucket", F.explode(_commands("latex")).alias("word"))
     split = formulas.select("document_id", "bucket", F.explode(F.regexp_extract_all("latex", F.lit(rf"({COMMAND} [A-Za-z0-9]+)"))).alias("word")).withColumn("word", F.replace("word", F.lit(" "), F.lit("")))
-    commands = whole.unionByName(split).withColumn("word", F.regexp_replace("word", r"^[/|]", r"\\")).distinct().join(known, "word").select("document_id", "bucket", "word", "n")
+    commands = commands.unionByName(split).withColumn("word", F.regexp_replace("word", r"^[/|]", r"\\")).distinct().join(known, "word").select("document_id", "bucket", "word", "n")
     return found.unionByName(commands).distinct().select("document_id", "bucket", F.col("word").alias("a"), F.log("n").alias("score"))
 
 
-def close_cuts(found: DataFrame, rows: DataFrame, known: DataFrame) -> DataFrame:
-    """Whole words of the cuts that no block of their bucket resumes: with the first later running text of the chapter."""
-    at = rows.select("raw_id", "document_id", "page_index", "block_ix").dropDuplicates(["raw_id"])
-    cuts = found.filter("kind = 'open'").select("raw_id", F.col("repaired").alias("head")).join(at, "raw_id")
-    first = F.regexp_extract(F.lower("text"), rf"^\s*({WORD})", 1)
-    later = rows.filter("scanned and latex is null").select("document_id", F.col("page_index").alias("p"), F.col("block_ix").alias("i"), first.alias("tail"), F.regexp_extract("text", r"^\s*(.)", 1).alias("c"))
-    later = later.filter(F.col("c").rlike(r"\p{Ll}"))
-    pairs = cuts.join(later, "document_id").filter(F.struct("p", "i") > F.struct("page_index", "block_ix"))
-    nearest = pairs.groupBy("raw_id", "head").agg(F.min_by("tail", F.struct("p", "i")).alias("tail"))
-    options = nearest.select("raw_id", F.explode(F.array(F.concat("head", "tail"), F.concat_ws("-", "head", "tail"))).alias("word")).join(known, "word")
-    best = options.groupBy("raw_id").agg(F.max_by("word", "n").alias("repaired"))
-    return best.select("raw_id", F.lit("text").alias("raw_field"), F.lit("hyphen").alias("kind"), "repaired")
-
-
 def repairs(raw_blocks: DataFrame, blocks: DataFrame, pages: DataFrame, with_text: bool = False) -> DataFrame:
     """raw_id, raw_field, kind and repaired of every damage; with_text adds the repaired paragraphs and formulas."""
     rows = stage(scanned_rows(raw_blocks, pages), "scanned")
-    known = stage(lexicon(blocks, rows), "lexicon")
+    known, total = lexicon(stage(word_counts(blocks, rows), "lexicon"))
     unknown = stage(unknown_forms(rows, known), "unknown")
     forms = unknown.groupBy("form").agg(F.sum("n").alias("n"))
-    fixes = stage(candidates(forms, known), "fixes")
-    grams = bigram_rows(unknown, fixes, blocks, rows, known)
-    facts = chapter_facts(rows, pages)
-    placed = rows.filter("scanned").withColumn("bucket", F.floor(F.col("page_index") / BUCKET_PAGES).cast("int"))
-    ahead = placed.filter(F.pmod("page_index", F.lit(BUCKET_PAGES)) < AHEAD_PAGES).withColumn("bucket", F.col("bucket") - 1)
-    stream = placed.withColumn("context", F.lit(0)).unionByName(ahead.withColumn("context", F.lit(1)))
-    stream = stream.join(facts, "document_id", "left").withColumn("what", F.lit(3)).drop("scanned")
-    fix_rows = unknown.select("document_id", "bucket", "form").distinct().join(fixes, "form").select("document_id", "bucket", F.lit(1).alias("what"), F.col("form").alias("a"), F.col("word").alias("b"), "score")
-    gram_rows = grams.select("document_id", "bucket", F.lit(2).alias("what"), "a", "b", F.col("log_p").alias("score"))
-    known_words = known_rows(rows, known).withColumn("what", F.lit(0))
-    every = stream
-    for more in (known_words, fix_rows, gram_rows):
+    fixes = stage(candidates(forms, known, total), "fixes")
+    grams = bigram_rows(unknown, fixes, blocks, rows, known, total)
+    facts = stage(chapter_facts(rows, pages), "facts")
+    stream = stage(with_context(stage(placed_blocks(rows), "placed")), "stream")
+    places = stream.select("document_id", "bucket", F.explode(_stretches(F.col("page_index"))).alias("stretch")).distinct()
+    forms_at = unknown.select("document_id", "bucket", "form")
+    if with_text:
+        # the text that goes on in another bucket is repaired there and here
+        lent = stream.filter("context = 1").select("document_id", F.col("bucket").alias("to"), F.floor(F.col("page_index") / BUCKET_PAGES).cast("int").alias("bucket")).distinct()
+        forms_at = forms_at.unionByName(forms_at.join(lent, ["document_id", "bucket"]).select("document_id", F.col("to").alias("bucket"), "form"))
+    parts = (
+        known_rows(stream, known).withColumn("what", F.lit(KNOWN)),
+        forms_at.distinct().join(fixes, "form").select("document_id", "bucket", F.lit(FIX).alias("what"), F.col("form").alias("a"), F.col("word").alias("b"), (F.col("log_p") + F.col("log_n")).alias("score")),
+        grams.select("document_id", "bucket", F.lit(GRAM).alias("what"), "a", "b", F.col("lift").alias("score")),
+        places.join(running_headers(rows, facts), ["document_id", "stretch"]).select("document_id", "bucket", F.lit(HEADER).alias("what"), F.col("key").alias("a"), F.col("stretch").alias("number")).distinct(),
+        places.select("document_id", "bucket").distinct().join(facts, "document_id").select("document_id", "bucket", F.lit(FACTS).alias("what"), F.col("title").alias("a"), F.col("page_offset").alias("number")),
+    )
+    every = stream.withColumn("what", F.lit(BLOCK))
+    for more in parts:
         every = every.unionByName(more, allowMissingColumns=True)
     every = every.repartition("document_id", "bucket").sortWithinPartitions("document_id", "bucket", "what", "page_index", "block_ix", "raw_id", "context")
-    found = stage(every.select(*_STREAM).mapInArrow(_repair(with_text), _DAMAGE), "repairs")
-    done = found.filter("kind <> 'open'")
-    if found.filter("kind = 'open'").limit(1).count():
-        done = done.unionByName(close_cuts(found, rows, known))
-    return done.distinct()
+    return every.select(*_STREAM).mapInArrow(_repair(with_text, math.log(UNSEEN_COUNT / total)), _DAMAGE).distinct()
 
 
 def damages(raw_blocks: DataFrame, blocks: DataFrame, pages: DataFrame) -> DataFrame:

@@ -60,11 +60,30 @@ def test_cut_words_over_lines_blocks_and_furniture(spark):
     assert [g for g in got if g[2] in ("header", "page_number")] == [(3, "text", "page_number", ""), (4, "text", "header", ""), (6, "text", "page_number", ""), (7, "text", "header", ""), (7, "text", "page_number", ""), (9, "text", "page_number", ""), (11, "text", "page_number", "")]
 
 
-@pytest.mark.parametrize("ahead", [0, 4])
-def test_cut_over_buckets(spark, monkeypatch, ahead):
-    monkeypatch.setattr(R, "AHEAD_PAGES", ahead)
-    got = run(spark, [block(1, 31, 0, "and so the mag-"), block(2, 32, 0, "net follows")])
-    assert got == [(1, "text", "hyphen", "magnet")]
+@pytest.mark.parametrize("bucket", [1, 4, 32, 1000])
+def test_cut_over_buckets(spark, monkeypatch, bucket):
+    monkeypatch.setattr(R, "BUCKET_PAGES", bucket)
+    pages = [("d", p, p + 11, True, "x") for p in range(400)]
+    got = run(spark, [
+        block(1, 31, 0, "and so the mag-"), block(2, 32, 0, "net follows the cur-"), block(3, 40, 0, None, r"\frac{1}{2}"), block(4, 40, 1, "51"), block(5, 310, 0, "rent and the Siiver and c-"), block(6, 311, 0, "arbon metal"),
+        block(7, 312, 0, "is fol1ows it."), block(7, 312, 0, "is fol1ows it."),
+    ], pages)
+    assert got == [(1, "text", "hyphen", "magnet"), (2, "text", "hyphen", "current"), (4, "text", "page_number", ""), (5, "text", "hyphen", "carbon"), (7, "text", "misread", "follows")]
+
+
+def test_context_is_the_texts_around(spark, monkeypatch):
+    monkeypatch.setattr(R, "BUCKET_PAGES", 10)
+    monkeypatch.setattr(R, "RESUME_BLOCKS", 3)
+    rows = [(i, "d", page, 0, "paragraph", None, None if i % 5 == 4 else f"text {i}", r"\frac" if i % 5 == 4 else None, True) for i, page in enumerate([0, 1, 2, 3, 4, 11, 25, 26, 27, 28, 29, 90, 300])]
+    df = spark.createDataFrame(rows, "raw_id bigint, document_id string, page_index int, block_ix int, block_type string, heading_level int, text string, latex string, scanned boolean")
+    got = R.with_context(R.placed_blocks(df)).collect()
+    texts = [r[0] for r in rows if r[6] is not None]
+    for bucket in {r[2] // 10 for r in rows}:
+        own = [r[0] for r in rows if r[2] // 10 == bucket]
+        inner = [i for i in own if i in texts]
+        around = set(texts[max(0, texts.index(inner[0]) - 3):texts.index(inner[-1]) + 4]) - set(own)
+        assert sorted(x.raw_id for x in got if x.bucket == bucket and x.context == 0) == own
+        assert sorted(x.raw_id for x in got if x.bucket == bucket and x.context == 1) == sorted(around)
 
 
 def test_hyphen_that_belongs_to_the_word(spark):
@@ -130,5 +149,25 @@ def test_headers_of_part_of_a_long_chapter(spark):
     data += [row(d, p, h) for d in ("a", "b") for p in range(4) for h in ("The Sand Of Dunes", "And The Wind")]
     df = spark.createDataFrame(data, "document_id string, page_index int, block_ix int, block_type string, heading_level int, text string, scanned boolean")
     pages = spark.createDataFrame([("long", p, None) for p in range(1000)], "document_id string, page_index int, printed_page int")
-    headers = {r.document_id: r.headers for r in R.chapter_facts(df, pages).collect()}
-    assert headers["long"] == ["movingsanddunes", "sandandwind"]
+    headers = {r.key for r in R.running_headers(df, R.chapter_facts(df, pages)).collect() if r.document_id == "long"}
+    assert headers == {"movingsanddunes", "sandandwind"}
+
+
+def test_thresholds_go_with_the_corpus(spark):
+    for times in (1, 1000):
+        counts = spark.createDataFrame([("magnet", 40 * times), ("rare", 3), ("noise", times // 2), ("\\frac", 9 * times)] + [(f"w{i}", 10_000 * times) for i in range(10)], "word string, n bigint")
+        known, total = R.lexicon(counts)
+        assert "magnet" in {r.word for r in known.collect()}
+        forms = spark.createDataFrame([(f"{a}rnagnet{b}", 1) for a, b in (("", ""),)] + [(f"x{i}rn", 1) for i in range(4)], "form string, n bigint")
+        lesson = known.unionByName(spark.createDataFrame([(f"x{i}m", 50 * times) for i in range(4)], "word string, n bigint"))
+        assert {(r.form, r.word) for r in R.candidates(forms, lesson, total).collect()} >= {("rnagnet", "magnet")}
+    assert "rare" not in {r.word for r in R.lexicon(counts)[0].collect()}
+
+
+def test_two_confusions_and_scripts_without_a_bound(spark):
+    r = random.Random(6)
+    letters = [chr(c) for c in range(0x430, 0x450)] + [chr(c) for c in range(0x561, 0x580)]
+    words = sorted({"".join(r.choice(letters) for _ in range(8)) for _ in range(400)})
+    forms = [(w.replace(w[2], chr(ord(w[2]) + 0x1000)), 1) for w in words]
+    got = {(x.form, x.word) for x in R.candidates(spark.createDataFrame(forms, "form string, n bigint"), spark.createDataFrame([(w, 50) for w in words], "word string, n bigint"), 20_000.0).collect()}
+    assert sum((f, w) in got for (f, _), w in zip(forms, words)) > 350
