@@ -8,9 +8,8 @@ back in reverse order.
 It is done twice. First every fragment (the blocks of a document whose ids have
 a common prefix) reduces and solves the links inside it, which leaves one label
 for each local component; a fragment holds a bounded number of ids, however
-large its document is. Then the links between labels are reduced: in one task
-while their counted number is below ``ONE_TASK_LINKS``, and by joins over the
-whole cluster above it. A shared item connects, per fragment, one label only,
+large its document is. Then the links between labels are reduced by joins over the
+whole cluster, however few they are. A shared item connects, per fragment, one label only,
 and across fragments the smallest label of the item, so an item with a third of
 all rows makes no more links than there are fragments.
 
@@ -33,8 +32,8 @@ from folioflow.session import stage
 
 NO_ITEM = ("", "none", "item_00000000")
 CHUNK_ROWS = 200_000
-#: so many links between labels (counted, not assumed) are solved in one task
-ONE_TASK_LINKS = 200_000
+#: a caller may let so many links between labels (counted, not assumed) be solved in one task; by default none are
+ONE_TASK_LINKS = 0
 #: a round that removes a smaller share of the links than this has reached the core
 LEAST_SHRINK = 0.1
 
@@ -283,7 +282,8 @@ def groups(rows: DataFrame, one_task_links: int = ONE_TASK_LINKS) -> DataFrame:
     local = stage(rows.mapInArrow(_fragments, _LOCAL), "local")
     own = local.filter("kind = 'v'").select("document_id", F.col("id").alias("block_id"), "label", "n")
     away = local.filter("kind = 'e'").select("document_id", F.col("id").alias("block_id"), F.col("label").alias("a"))
-    between = away.join(own.select("document_id", "block_id", F.col("label").alias("b")), ["document_id", "block_id"]).select("document_id", "a", "b")
+    # all blocks are on one side, so it isn't broadcast
+    between = away.join(own.select("document_id", "block_id", F.col("label").alias("b")).hint("merge"), ["document_id", "block_id"]).select("document_id", "a", "b")
     shared = local.filter("kind = 'i'").select("document_id", F.col("id").alias("item"), F.col("label").alias("a"))
     spread = shared.groupBy("document_id", "item").agg(F.min("a").alias("b"), F.max("a").alias("most")).filter("b <> most").drop("most")
     between = between.unionByName(shared.join(spread, ["document_id", "item"]).select("document_id", "a", "b"))
