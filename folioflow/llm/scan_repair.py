@@ -202,7 +202,9 @@ def candidates(forms: DataFrame, known: DataFrame, total: float) -> DataFrame:
 
 def bigram_rows(unknown: DataFrame, fixes: DataFrame, blocks: DataFrame, rows: DataFrame, known: DataFrame, total: float) -> DataFrame:
     """document_id, bucket, a, b and lift of the bigrams around the forms with candidates: log of how much likelier b is after a than anywhere."""
-    around = unknown.join(fixes.filter(~F.col("form").startswith("\\")).select("form", "word"), "form")
+    # where only one known word fits, the channel decides against the form itself; where several do, their neighbours are asked
+    several = fixes.filter(~F.col("form").startswith("\\")).withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("form"))).filter("c > 1")
+    around = unknown.join(several.select("form", "word"), "form")
     pairs = around.select("document_id", "bucket", F.explode(F.array(F.struct(F.col("prev").alias("a"), F.col("word").alias("b")), F.struct(F.col("word").alias("a"), F.col("next").alias("b")))).alias("p"))
     pairs = stage(pairs.select("document_id", "bucket", "p.a", "p.b").filter("a <> '' and b <> ''").distinct(), "grams")
     texts = blocks.select("text").unionByName(rows.filter(~F.col("scanned")).select("text")).filter("text is not null").select(_words("text").alias("w")).filter(F.size("w") > 1)
@@ -590,21 +592,23 @@ def known_rows(stream: DataFrame, known: DataFrame) -> DataFrame:
     short part only those that go on like a text that may resume it), the known
     commands, and those that a blank has cut.
     """
-    texts = stream.filter("text is not null").select("document_id", "bucket", "page_index", "block_ix", "raw_id", F.split(F.lower("text"), "\n").alias("l"))
+    text = F.lower("text")
+    texts = stream.filter("text is not null")
     # of each line the part that it ends in, and the word that it begins with
-    ends = F.transform("l", lambda x: F.regexp_extract(x, rf"({WORD})[{HYPHENS}]\s*$", 1))
-    begins = F.transform("l", lambda x: F.regexp_extract(x, rf"^\s*({WORD})", 1))
-    parts = texts.withColumns({"e": ends, "s": begins})
-    heads = parts.select("document_id", "bucket", F.explode("e").alias("head")).filter(F.length("head") > SHORT_HEAD)
-    # a short part inside a text is resumed by one of the next three lines, at its end by one of the first lines of the next texts
-    inside = parts.select("document_id", "bucket", F.explode(F.expr("flatten(transform(e, (x, i) -> transform(slice(s, i + 2, 3), y -> struct(x as head, y as tail))))")).alias("p"))
-    following = Window.partitionBy("document_id", "bucket").orderBy("page_index", "block_ix", "raw_id").rowsBetween(1, RESUME_BLOCKS)
+    end, begin = rf"({WORD})[{HYPHENS}]\s*$", rf"^\s*({WORD})"
+    cut = texts.filter(F.col("text").rlike(rf"[{HYPHENS}][ \t]*(\r?\n|$)")).select("document_id", "bucket", F.split(text, "\n").alias("l"))
+    cut = cut.select("document_id", "bucket", F.transform("l", lambda x: F.regexp_extract(x, end, 1)).alias("e"), F.transform("l", lambda x: F.regexp_extract(x, begin, 1)).alias("s"))
+    cut = stage(cut, "cuts")
+    heads = cut.select("document_id", "bucket", F.explode("e").alias("head"))
     short = F.col("head").rlike(f"^.{{1,{SHORT_HEAD}}}$")
-    over = parts.withColumn("head", F.element_at("e", -1)).select("document_id", "bucket", "head", F.flatten(F.collect_list(F.slice("s", 1, 3)).over(following)).alias("tails")).filter(short)
-    over = over.select("document_id", "bucket", "head", F.explode("tails").alias("tail"))
-    pairs = inside.select("document_id", "bucket", "p.*").filter(short).unionByName(over).filter("tail <> ''")
+    # a short part is resumed by one of the next three lines of its text, or at the text's end by one of the first lines of the bucket's texts
+    inside = cut.select("document_id", "bucket", F.explode(F.expr("flatten(transform(e, (x, i) -> transform(slice(s, i + 2, 3), y -> struct(x as head, y as tail))))")).alias("p")).select("document_id", "bucket", "p.*").filter(short)
+    at_end = cut.select("document_id", "bucket", F.element_at("e", -1).alias("head")).filter(short).distinct()
+    first = texts.join(at_end.select("document_id", "bucket").distinct(), ["document_id", "bucket"], "left_semi")
+    first = first.select("document_id", "bucket", F.explode(F.slice(F.split(text, "\n"), 1, 3)).alias("line")).select("document_id", "bucket", F.regexp_extract("line", begin, 1).alias("tail")).distinct()
+    pairs = inside.unionByName(at_end.join(first, ["document_id", "bucket"])).filter("tail <> ''")
     whole = pairs.select("document_id", "bucket", F.explode(F.array(F.concat("head", F.substring("tail", 1, 2)), F.concat("head", F.lit("-"), F.substring("tail", 1, 1)))).alias("head"))
-    keys = heads.unionByName(whole).distinct()
+    keys = heads.filter(F.length("head") > SHORT_HEAD).unionByName(whole).distinct()
     words = known.filter(~F.col("word").startswith("\\"))
     starts = words.select("word", "n", F.explode(F.expr("transform(sequence(1, length(word)), i -> substring(word, 1, i))")).alias("head"))
     found = keys.join(starts, "head").select("document_id", "bucket", "word", "n")
