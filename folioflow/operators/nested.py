@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioflow.session import shared_folder
+from folioflow.session import stage
 
 EMITTED = "tag string, document_id string, record_key string, parent_key string, ordinal int, depth int, body string"
 _ARROW = pa.schema([("tag", pa.string()), ("document_id", pa.string()), ("record_key", pa.string()), ("parent_key", pa.string()), ("ordinal", pa.int32()), ("depth", pa.int32()), ("body", pa.string())])
@@ -138,11 +138,10 @@ def _dump(value) -> str:
     return "".join(out)
 
 
-def read_payload(payload: str | None) -> dict | None:
+def read_payload(payload: str | None, depth: int = 0) -> dict | None:
     """The object in a payload once what is wrapped around it is removed; None if there is none that is whole."""
-    for _ in range(4):
-        if not isinstance(payload, str):
-            break
+    # every step goes inside what is wrapped, so that it ends for any number of wrappings
+    while isinstance(payload, str):
         text = payload.strip("﻿​ \t\r\n\x00")
         text = _fence.sub("", text).strip("﻿​ \t\r\n\x00") if text.startswith("`") or text.endswith("`") else text
         if not text:
@@ -163,21 +162,21 @@ def read_payload(payload: str | None) -> dict | None:
                     return None
             if not isinstance(payload, dict):
                 return None
-    if isinstance(payload, list) and len(payload) == 1:
-        payload = payload[0]
-    for _ in range(4):
-        if not isinstance(payload, dict) or "questions" in payload:
-            break
-        inner = payload.get("document", next((v for v in payload.values() if isinstance(v, dict) and ("questions" in v or "document" in v)), None))
-        payload = read_payload(inner) if isinstance(inner, str) else inner
-    return payload if isinstance(payload, dict) else None
+    while not (isinstance(payload, dict) and "questions" in payload):
+        if isinstance(payload, list) and len(payload) == 1:
+            payload = payload[0]
+        elif isinstance(payload, dict):
+            payload = payload.get("document", next((v for v in payload.values() if isinstance(v, dict) and ("questions" in v or "document" in v)), None))
+        elif isinstance(payload, str):
+            return read_payload(payload, depth + 1)
+        else:
+            return None
+    return payload
 
 
 def _as_list(value, fields: set[str]) -> list[tuple[str | None, object]]:
     """(key, element) of a list in any of its shapes."""
-    for _ in range(3):
-        if not isinstance(value, str):
-            break
+    while isinstance(value, str):
         try:
             value = _load(value)
         except (ValueError, RecursionError):
@@ -192,9 +191,9 @@ def _as_list(value, fields: set[str]) -> list[tuple[str | None, object]]:
 
 
 def _as_object(value):
-    if isinstance(value, str) and value.lstrip().startswith("{"):
+    while isinstance(value, str) and value.lstrip()[:1] in ("{", '"'):
         try:
-            return _load(value)
+            value = _load(value)
         except (ValueError, RecursionError):
             return None
     return value
@@ -267,11 +266,20 @@ def flat_table(emitted: DataFrame, tag: str) -> DataFrame:
     return rows.select("document_id", "record_key", "parent_key", "ordinal", "depth", "b.*").distinct()
 
 
+def written(canonical: DataFrame, folder: str | None = None) -> DataFrame:
+    """The tagged rows, written once partitioned by tag; every flat table reads its own partition.
+
+    Without a folder a new one in the shared folder is taken, which is released
+    with the session's staged tables.
+    """
+    emitted = emit(canonical)
+    if folder is None:
+        return stage(emitted, "nested", partition_by=("tag",))
+    emitted.write.mode("errorifexists").partitionBy("tag").parquet(folder)
+    return canonical.sparkSession.read.schema(emitted.schema).parquet(folder)
+
+
 def write_tables(canonical: DataFrame, folder: str | None = None) -> dict[str, DataFrame]:
-    """Write the tagged rows partitioned by tag, and give each table over its own partition."""
-    spark = canonical.sparkSession
-    folder = folder or f"{shared_folder(spark).rstrip('/')}/nested"
-    emit(canonical).write.mode("overwrite").partitionBy("tag").parquet(folder)
-    schema = T.StructType(emit(canonical).schema.fields)
-    emitted = spark.read.schema(schema).parquet(folder)
-    return {tag: flat_table(emitted, tag) for tag in SCHEMAS}
+    """All flat tables over one write."""
+    rows = written(canonical, folder)
+    return {tag: flat_table(rows, tag) for tag in SCHEMAS}

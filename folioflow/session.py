@@ -44,18 +44,23 @@ def shared_folder(spark: SparkSession) -> str:
     return f"file://{local}"
 
 
-def stage(df: DataFrame, label: str = "stage") -> DataFrame:
+def stage(df: DataFrame, label: str = "stage", partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write df as a table in the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path) if partition_by else df.write.parquet(path)
     _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release_stages() -> None:
-    """Delete all staged tables of this process; called at exit."""
-    while _written:
+def staged() -> int:
+    """How many tables are staged; release_stages() takes it to keep those of earlier results."""
+    return len(_written)
+
+
+def release_stages(since: int = 0) -> None:
+    """Delete the staged tables of this process, or those since a mark; a long session calls it when a result is written, and it is called at exit."""
+    while len(_written) > since:
         spark, path = _written.pop()
         try:
             jvm = spark.sparkContext._jvm

@@ -76,6 +76,33 @@ def test_tables(spark, tmp_path):
     assert {(r.parent_key, r.kind, r.reason) for r in written["escalation"].collect()} == {("Q1", "k", "r")}
 
 
+def test_any_number_of_wrappings():
+    doc = {"questions": [{"id": "q"}]}
+    text = json.dumps(doc)
+    for _ in range(8):
+        text = json.dumps(text)
+    assert rows(N.read_payload(text)) == [("question", "q", "")]
+    inside: object = doc
+    for k in range(9):
+        inside = {"document": inside} if k % 3 else [{"document": json.dumps(inside)}]
+    assert rows(N.read_payload(json.dumps(inside))) == [("question", "q", "")]
+    nested = json.dumps([{"id": "s"}])
+    for _ in range(6):
+        nested = json.dumps(nested)
+    assert rows({"questions": [{"id": "q", "sub_questions": nested}]}) == [("question", "q", ""), ("question", "s", "q")]
+    for odd in ("[]", "[[]]", '""', '"\\"\\""', "{}", '{"document": {"document": null}}', "[1]"):
+        assert N.read_payload(odd) is None
+
+
+def test_one_write_for_all_tables(spark):
+    doc = {"questions": [{"id": "Q1", "validation": {"escalations": [{"kind": "k"}]}}]}
+    emitted = N.written(spark.createDataFrame([("d", json.dumps(doc))], "document_id string, payload string"))
+    assert {r.tag for r in emitted.select("tag").collect()} == {"question", "escalation"}
+    assert N.links(emitted).count() == 2 and N.flat_table(emitted, "question").count() == 1
+    plan = N.flat_table(emitted, "question")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(tag" in plan
+
+
 def test_empty(spark):
     assert N.links(N.emit(spark.createDataFrame([], "document_id string, payload string"))).count() == 0
 
