@@ -19,7 +19,7 @@ not looked at. An empty input gives an empty result of the same schema.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -142,7 +142,7 @@ def _level(nodes: DataFrame, level: int, single: bool) -> DataFrame:
     return stage(cols.mapInArrow(_contract, _OUT), "forest")
 
 
-def _solve(nodes: DataFrame, level: int = 0, single: bool = False) -> tuple[DataFrame, DataFrame | None]:
+def _solve(nodes: DataFrame, one_fragment_rows: int, level: int = 0, single: bool = False) -> tuple[DataFrame, DataFrame | None]:
     """Final kind of each node, and the paths whose every id lies on a cycle."""
     local = _level(nodes, level, single)
     exits = local.filter("kind = 'exit'").select("tree", "document_id", F.col("exit").alias("node")).distinct()
@@ -151,15 +151,16 @@ def _solve(nodes: DataFrame, level: int = 0, single: bool = False) -> tuple[Data
     on_cycle = local.filter("kind = 'cycle'").select("tree", "document_id", "path") if level else None
     if not open_rows:
         return local, on_cycle
-    quotient = local.join(found, ["tree", "document_id", "node"]).select(
+    # both sides grow with the data, so neither is broadcast
+    quotient = local.join(found.hint("merge"), ["tree", "document_id", "node"]).select(
         "tree", "document_id", "node", F.col("exit").alias("parent"),
         F.when(F.col("kind") != "exit", F.col("kind")).alias("kind"), "root", "path", "n",
     )
-    solved, cycles = _solve(quotient, level + 1, open_rows <= ONE_FRAGMENT_ROWS)
+    solved, cycles = _solve(quotient, one_fragment_rows, level + 1, open_rows <= one_fragment_rows)
     up = solved.select(
         "tree", "document_id", F.col("node").alias("exit"), F.col("kind").alias("u_kind"), F.col("root").alias("u_root"), F.col("path").alias("u_path"), F.col("n").alias("u_n"),
     )
-    joined = local.join(up, ["tree", "document_id", "exit"], "left")
+    joined = local.join(up.hint("merge"), ["tree", "document_id", "exit"], "left")
     whole = (F.col("kind") == "exit") & (F.col("u_kind") == "root")
     alone = (F.col("kind") == "exit") & (F.col("u_kind") == "phantom")
     lost = (F.col("kind") == "exit") & F.col("u_kind").isin("cycle", "below_cycle")
@@ -176,16 +177,17 @@ def _solve(nodes: DataFrame, level: int = 0, single: bool = False) -> tuple[Data
     return out, cycles
 
 
-def resolve(nodes: DataFrame) -> DataFrame:
+def resolve(nodes: DataFrame, keep_path: bool = False, one_fragment_rows: int | None = None) -> DataFrame:
     """tree, document_id, node_id, tree_state, root_id, depth and id_path of each node with a row.
 
-    nodes as node_table() gives them.
+    nodes as node_table() gives them. keep_path adds the path with its ids apart
+    from each other, whatever characters they have.
     """
     ready = nodes.select(
         "tree", "document_id", "part", "node", "parent", F.when(~F.col("present"), F.lit("phantom")).alias("kind"),
         F.col("node").alias("root"), F.col("node").alias("path"), F.lit(1).cast("bigint").alias("n"),
     )
-    solved, cycles = _solve(ready)
+    solved, cycles = _solve(ready, ONE_FRAGMENT_ROWS if one_fragment_rows is None else one_fragment_rows)
     solved = solved.filter("kind <> 'phantom'")
     if cycles is not None:
         on = cycles.select("tree", "document_id", F.explode(F.split("path", SEP)).alias("node"), F.lit(True).alias("on_cycle")).distinct()
@@ -196,7 +198,7 @@ def resolve(nodes: DataFrame) -> DataFrame:
         F.when(is_tree, "tree").otherwise(F.col("kind")).alias("tree_state"),
         F.when(is_tree, F.col("root")).otherwise("").alias("root_id"),
         F.when(is_tree, F.col("n") - 1).otherwise(-1).cast("int").alias("depth"),
-        F.when(is_tree, F.translate("path", SEP, "/")).otherwise("").alias("id_path"),
+        F.when(is_tree, F.translate("path", SEP, "/")).otherwise("").alias("id_path"), *([F.when(is_tree, F.col("path")).alias("path")] if keep_path else []),
     )
 
 
@@ -213,17 +215,85 @@ def child_list_links(hierarchy: DataFrame) -> DataFrame:
     return known.select(F.lit("hierarchy").alias("tree"), "document_id", "node", "parent", "present")
 
 
-def hierarchies(blocks: DataFrame, hierarchy: DataFrame) -> DataFrame:
+def hierarchies(blocks: DataFrame, hierarchy: DataFrame, keep_path: bool = False, one_fragment_rows: int | None = None) -> DataFrame:
     """Both kinds of trees, solved together."""
-    return resolve(node_table(part_of_links(blocks).unionByName(child_list_links(hierarchy))))
+    return resolve(node_table(part_of_links(blocks).unionByName(child_list_links(hierarchy))), keep_path, one_fragment_rows)
+
+
+def _paths(resolved: DataFrame) -> DataFrame:
+    path = F.col("path") if "path" in resolved.columns else F.translate("id_path", "/", SEP)
+    return resolved.filter("tree_state = 'tree'").select("tree", "document_id", "node_id", "depth", path.alias("path"))
 
 
 def descendants(resolved: DataFrame) -> DataFrame:
-    """Every (ancestor, node) pair of the trees, the node itself left out: all descendants of each node."""
-    ids = resolved.filter("tree_state = 'tree' and depth > 0").select("tree", "document_id", "node_id", "depth", F.posexplode(F.split("id_path", "/")).alias("at", "ancestor_id"))
+    """Every (ancestor, node) pair of the trees, the node itself left out: all descendants of each node.
+
+    The rows are as many as the depths of all nodes together; descendant_counts()
+    does not make them.
+    """
+    ids = _paths(resolved).filter("depth > 0").select("tree", "document_id", "node_id", "depth", F.posexplode(F.split("path", SEP)).alias("at", "ancestor_id"))
     return ids.filter("at < depth").select("tree", "document_id", "ancestor_id", F.col("node_id").alias("descendant_id"), (F.col("depth") - F.col("at")).alias("distance"))
 
 
+_COUNTS = "tree string, document_id string, node_id string, n bigint, deepest int"
+_COUNTS_ARROW = pa.schema([("tree", pa.string()), ("document_id", pa.string()), ("node_id", pa.string()), ("n", pa.int64()), ("deepest", pa.int32())])
+
+
+def count_below(rows: Iterable[tuple[str, str, str]]) -> Iterator[tuple[str, str, str, int, int]]:
+    """(tree, document, node, descendants, greatest distance) as far as these (tree, document, path) rows show.
+
+    Rows come in the order of their paths, so only the ids of one path are open at
+    a time. An id whose subtree goes on in other rows comes again there.
+    """
+    here: tuple | None = None
+    stack: list[list] = []  # id, rows below, deepest depth below
+
+    def close(to: int) -> Iterator[tuple]:
+        while len(stack) > to:
+            node, n, deepest = stack.pop()
+            if n:
+                yield (*here, node, n, deepest - len(stack))
+                if stack:
+                    stack[-1][1] += n
+                    stack[-1][2] = max(stack[-1][2], deepest)
+
+    for tree, document, path in rows:
+        ids = path.split(SEP)
+        if (tree, document) != here:
+            yield from close(0)
+            here = (tree, document)
+        same = 0
+        while same < min(len(stack), len(ids)) and stack[same][0] == ids[same]:
+            same += 1
+        yield from close(same)
+        stack.extend([node, 0, 0] for node in ids[same:])
+        if len(ids) > 1:
+            stack[-2][1] += 1
+            stack[-2][2] = max(stack[-2][2], len(ids) - 1)
+    if here:
+        yield from close(0)
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = (r for batch in batches for r in zip(*(batch.column(c).to_pylist() for c in ("tree", "document_id", "path"))))
+    held: list[tuple] = []
+    for row in count_below(rows):
+        held.append(row)
+        if len(held) >= 20_000:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), _COUNTS_ARROW)], schema=_COUNTS_ARROW)
+            held = []
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), _COUNTS_ARROW)], schema=_COUNTS_ARROW)
+
+
 def descendant_counts(resolved: DataFrame) -> DataFrame:
-    """Number of descendants, and greatest distance to one, of each node of the trees that has any."""
-    return descendants(resolved).groupBy("tree", "document_id", F.col("ancestor_id").alias("node_id")).agg(F.count(F.lit(1)).alias("n_descendants"), F.max("distance").cast("int").alias("height"))
+    """Number of descendants, and greatest distance to one, of each node of the trees that has any.
+
+    Paths are sorted over the cluster, so a subtree lies in one stretch; every task
+    sums its stretch from the leaves up and gives one row a node, and for the nodes
+    above its first row. These few are added up.
+    """
+    paths = _paths(resolved).select("tree", "document_id", "path")
+    ordered = paths.repartitionByRange("tree", "document_id", "path").sortWithinPartitions("tree", "document_id", "path")
+    parts = ordered.mapInArrow(_count, _COUNTS)
+    return parts.groupBy("tree", "document_id", "node_id").agg(F.sum("n").alias("n_descendants"), F.max("deepest").cast("int").alias("height"))

@@ -13,14 +13,23 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
     return hierarchy.hierarchies(table(spark, sf, "blocks"), table(spark, sf, "hierarchy"))
 
 
+def _with_paths(spark: SparkSession, sf: str) -> DataFrame:
+    return hierarchy.hierarchies(table(spark, sf, "blocks"), table(spark, sf, "hierarchy"), keep_path=True)
+
+
+def p1_small_fragments(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows of p1_found with every quotient solved over the cluster, however small it is."""
+    return hierarchy.hierarchies(table(spark, sf, "blocks"), table(spark, sf, "hierarchy"), one_fragment_rows=0)
+
+
 def p1_descendants(spark: SparkSession, sf: str) -> DataFrame:
     """All descendants of each block or node, with their distance."""
-    return hierarchy.descendants(p1_found(spark, sf))
+    return hierarchy.descendants(_with_paths(spark, sf))
 
 
 def p1_descendant_counts(spark: SparkSession, sf: str) -> DataFrame:
     """How many descendants each block or node has, and how far down they go."""
-    return hierarchy.descendant_counts(p1_found(spark, sf))
+    return hierarchy.descendant_counts(_with_paths(spark, sf))
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -40,20 +49,20 @@ def p4_orphan_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     """Keys of the flat question and escalation tables."""
-    return nested.links(nested.emit(table(spark, sf, "canonical_documents")))
+    return nested.links(nested.written(table(spark, sf, "canonical_documents")))
 
 
 def p5_questions(spark: SparkSession, sf: str) -> DataFrame:
     """The flat question table with its payload columns."""
-    return nested.flat_table(nested.emit(table(spark, sf, "canonical_documents")), "question")
+    return nested.flat_table(nested.written(table(spark, sf, "canonical_documents")), "question")
 
 
 def p5_escalations(spark: SparkSession, sf: str) -> DataFrame:
     """The flat escalation table with its payload columns."""
-    return nested.flat_table(nested.emit(table(spark, sf, "canonical_documents")), "escalation")
+    return nested.flat_table(nested.written(table(spark, sf, "canonical_documents")), "escalation")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_descendants, p1_descendant_counts, p4_found, p4_orphan_counts, p4_orphan_keys, p5_found, p5_questions, p5_escalations)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_small_fragments, p1_descendants, p1_descendant_counts, p4_found, p4_orphan_counts, p4_orphan_keys, p5_found, p5_questions, p5_escalations)}
 
 _P1_FOUND = """
 WITH RECURSIVE links AS (
@@ -144,4 +153,11 @@ SELECT document_id, target_key, n_references, CASE WHEN deleted IS NULL THEN 'mi
 FROM named LEFT JOIN known USING (document_id, target_key) WHERE coalesce(deleted, true) OR first_at > first_ref
 """
 
-ORACLE = {"p1_found": _P1_FOUND, "p1_descendant_counts": _P1_COUNTS, "p4_found": _P4_FOUND, "p4_orphan_counts": _P4_COUNTS, "p4_orphan_keys": _P4_KEYS}
+_P1_DESCENDANTS = f"""
+WITH f AS ({_P1_FOUND}), e AS (
+  SELECT tree, document_id, node_id, depth, string_split(id_path, '/') AS ids, unnest(range(depth)) AS pos FROM f WHERE tree_state = 'tree' AND depth > 0
+)
+SELECT tree, document_id, ids[pos + 1] AS ancestor_id, node_id AS descendant_id, CAST(depth - pos AS INTEGER) AS distance FROM e
+"""
+
+ORACLE = {"p1_found": _P1_FOUND, "p1_small_fragments": _P1_FOUND, "p1_descendants": _P1_DESCENDANTS, "p1_descendant_counts": _P1_COUNTS, "p4_found": _P4_FOUND, "p4_orphan_counts": _P4_COUNTS, "p4_orphan_keys": _P4_KEYS}

@@ -101,6 +101,35 @@ def test_child_lists_and_descendants(spark):
     assert {(r.node_id, r.n_descendants, r.height) for r in H.descendant_counts(solved).collect()} == {("r", 3, 2), ("a", 1, 1)}
 
 
+@pytest.mark.parametrize("parts", [1, 3, 9])
+def test_counts_add_up_over_stretches(parts):
+    r = random.Random(parts)
+    ids, parents = random_forest(8, 500)
+    want = brute(parents, set(ids))
+    paths = sorted(p.replace("/", H.SEP) for state, _, _, p in want.values() if state == "tree")
+    cuts = sorted(r.sample(range(1, len(paths)), parts - 1))
+    got: dict = {}
+    for a, b in zip([0, *cuts], [*cuts, len(paths)]):
+        for _, _, node, n, deepest in H.count_below(("t", "d", p) for p in paths[a:b]):
+            old = got.get(node, (0, 0))
+            got[node] = (old[0] + n, max(old[1], deepest))
+    brute_counts: dict = {}
+    for p in paths:
+        up = p.split(H.SEP)
+        for k, node in enumerate(up[:-1]):
+            old = brute_counts.get(node, (0, 0))
+            brute_counts[node] = (old[0] + 1, max(old[1], len(up) - 1 - k))
+    assert got == brute_counts
+
+
+def test_ids_with_slashes(spark):
+    rows = [("d", "a", None, "x", "y"), ("d", "a/b", "a", "x", "y"), ("d", "c", "a/b", "x", "y")]
+    links = H.node_table(H.part_of_links(spark.createDataFrame(rows, BLOCKS)))
+    solved = H.resolve(links, keep_path=True)
+    assert {(r.ancestor_id, r.descendant_id) for r in H.descendants(solved).collect()} == {("a", "a/b"), ("a", "c"), ("a/b", "c")}
+    assert {(r.node_id, r.n_descendants, r.height) for r in H.descendant_counts(solved).collect()} == {("a", 2, 2), ("a/b", 1, 1)}
+
+
 def test_empty(spark):
     assert H.hierarchies(spark.createDataFrame([], BLOCKS), spark.createDataFrame([], NODES)).count() == 0
 
