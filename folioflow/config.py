@@ -10,10 +10,6 @@ class EngineConfig:
     """Settings of a run; the defaults are those of the operators."""
 
     confidence_threshold: float = 0.6
-    coverage_min: float = 0.9
-    join_at: float = 0.55
-    ambiguous_low: float = 0.40
-    ambiguous_high: float = 0.70
     top_candidates: int = 6
     bm25_top: int = 8
     escalations: int = 20

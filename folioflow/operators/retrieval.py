@@ -140,20 +140,58 @@ def cosine_topk(queries: DataFrame, vectors: DataFrame, k: int = 8, block: int =
     return near.withColumn("rank", F.row_number().over(best).cast("int")).filter(F.col("rank") <= k)
 
 
-def fuse(structural: DataFrame, lexical: DataFrame, semantic: DataFrame, k: int = 6) -> DataFrame:
-    """Union of the channels per (query_id, block_id): structural strength decides, the others stay below it.
+def block_bm25(leaves: DataFrame, blocks: DataFrame, k: int = 8) -> DataFrame:
+    """document_id, question_id, block_id, score and share of the k answer blocks of its own document that fit a question best.
 
-    structural(query_id, block_id, strength), lexical and semantic(query_id, block_id, score).
+    An inverted index: tokens of questions are joined with the postings of the
+    document's answer blocks. Counts are per document.
+    """
+    pool = blocks.filter(F.col("block_type").isin(*T.ANSWER_TYPES) & F.coalesce("text", "caption").isNotNull()).select("document_id", "block_id", T.tokens(F.concat_ws(" ", "text", "caption")).alias("t"))
+    sized = pool.select("document_id", "block_id", F.size("t").alias("dl"), "t")
+    mean = sized.groupBy("document_id").agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("mean"))
+    postings = sized.select("document_id", "block_id", "dl", F.explode("t").alias("token")).groupBy("document_id", "block_id", "dl", "token").agg(F.count(F.lit(1)).alias("tf"))
+    df = postings.groupBy("document_id", "token").agg(F.count(F.lit(1)).alias("df"))
+    idf = df.join(mean, "document_id").select("document_id", "token", "mean", F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
+    terms = leaves.select("document_id", "question_id", F.explode(T.tokens("question_text")).alias("token")).groupBy("document_id", "question_id", "token").agg(F.count(F.lit(1)).alias("times"))
+    part = F.col("times") * F.col("idf") * (K1 + 1) * F.col("tf") / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("mean")))
+    scored = terms.join(idf, ["document_id", "token"]).join(postings, ["document_id", "token"]).groupBy("document_id", "question_id", "block_id").agg(F.sum(part).alias("score"))
+    mine = Window.partitionBy("document_id", "question_id")
+    best = scored.withColumn("place", F.row_number().over(mine.orderBy(F.round("score", 9).desc(), "block_id"))).filter(F.col("place") <= k)
+    return best.select("document_id", "question_id", "block_id", "score", (F.col("score") / F.max("score").over(mine)).alias("share"))
+
+
+def fused_evidence(leaves: DataFrame, blocks: DataFrame, structural: DataFrame, lexical: DataFrame, semantic: DataFrame | None = None, k: int = 6) -> DataFrame:
+    """The k best candidates of each question over all channels, with relationship and scope.
+
+    structural as structural_candidates() gives it; lexical and semantic
+    (document_id, question_id, block_id, share). A block is in scope if a
+    relationship or the question's own section says so.
+    """
+    keys = ("document_id", "question_id")
+    lexical = lexical.select(*keys, "block_id", F.col("share").alias("score"))
+    semantic = lexical.limit(0) if semantic is None else semantic.select(*keys, "block_id", F.col("share").alias("score"))
+    one = fuse(structural, lexical, semantic, k, keys)
+    sections = blocks.select("document_id", "block_id", "section_id")
+    asked = leaves.join(sections, ["document_id", "block_id"]).select(*keys, F.col("section_id").alias("q_section"), F.lit(True).alias("placed"))
+    d = one.join(structural.select(*keys, "block_id", "relationship"), [*keys, "block_id"], "left").join(sections, ["document_id", "block_id"]).join(asked, list(keys), "left")
+    in_scope = F.col("relationship").isNotNull() | (F.coalesce("placed", F.lit(False)) & (F.col("section_id") == F.col("q_section")))
+    return d.select(*keys, "block_id", F.coalesce("relationship", F.lit("none")).alias("relationship"), F.when(F.coalesce(in_scope, F.lit(False)), "in_scope").otherwise("cross_section").alias("scope"), "strength", "lexical", "rerank", "channels", "rank")
+
+
+def fuse(structural: DataFrame, lexical: DataFrame, semantic: DataFrame, k: int = 6, keys: tuple[str, ...] = ("query_id",)) -> DataFrame:
+    """Union of the channels per query and block_id: structural strength decides, the others stay below it.
+
+    structural(keys, block_id, strength), lexical and semantic(keys, block_id, score).
     """
     zero = F.lit(None).cast("double")
-    every = structural.select("query_id", "block_id", F.col("strength").alias("st"), zero.alias("le"), zero.alias("se"))
-    every = every.unionByName(lexical.select("query_id", "block_id", zero.alias("st"), F.col("score").alias("le"), zero.alias("se")))
-    every = every.unionByName(semantic.select("query_id", "block_id", zero.alias("st"), zero.alias("le"), F.col("score").alias("se")))
-    one = every.groupBy("query_id", "block_id").agg(*(F.coalesce(F.max(c), F.lit(0.0)).alias(c) for c in ("st", "le", "se")), *(F.max(F.col(c).isNotNull()).alias(f"h_{c}") for c in ("st", "le", "se")))
-    rerank = F.when(F.col("st") > 0, F.col("st")).otherwise(F.round((0.5 * F.col("se") + 0.3 * F.col("le")) * 0.7, 6))
+    every = structural.select(*keys, "block_id", F.col("strength").alias("st"), zero.alias("le"), zero.alias("se"))
+    every = every.unionByName(lexical.select(*keys, "block_id", zero.alias("st"), F.col("score").alias("le"), zero.alias("se")))
+    every = every.unionByName(semantic.select(*keys, "block_id", zero.alias("st"), zero.alias("le"), F.col("score").alias("se")))
+    one = every.groupBy(*keys, "block_id").agg(*(F.coalesce(F.max(c), F.lit(0.0)).alias(c) for c in ("st", "le", "se")), *(F.max(F.col(c).isNotNull()).alias(f"h_{c}") for c in ("st", "le", "se")))
+    rerank = F.when(F.col("st") > 0, F.col("st")).otherwise(F.round((0.5 * F.col("se") + 0.3 * F.col("le")) * 0.7, 4))
     channels = F.array_join(F.array_compact(F.array(F.when(F.col("h_le"), "lexical"), F.when(F.col("h_se"), "semantic"), F.when(F.col("h_st"), "structural"))), ",")
-    one = one.select("query_id", "block_id", F.col("st").alias("strength"), F.col("le").alias("lexical"), F.col("se").alias("semantic"), rerank.alias("rerank"), channels.alias("channels"))
-    return one.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("rerank"), "block_id")).cast("int")).filter(F.col("rank") <= k)
+    one = one.select(*keys, "block_id", F.col("st").alias("strength"), F.col("le").alias("lexical"), F.col("se").alias("semantic"), rerank.alias("rerank"), channels.alias("channels"))
+    return one.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("rerank"), "block_id")).cast("int")).filter(F.col("rank") <= k)
 
 
 def leaf_questions(questions: DataFrame) -> DataFrame:

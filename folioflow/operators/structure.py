@@ -195,33 +195,63 @@ def references(raw_blocks: DataFrame) -> DataFrame:
     return phrases.filter("phrase is not null").withColumn("p", T.reference_parts("phrase")).select("document_id", "raw_id", "page_index", "reading_order", "ref_ix", "phrase", "p.direction", "p.hint", "p.label")
 
 
+# Types of asset that a hint fits, and how sure a resolution is.
+FITS = (("figure", ("figure", "image", "diagram")), ("image", ("image", "figure")), ("diagram", ("diagram", "figure")), ("graph", ("figure", "diagram")), ("table", ("table",)), ("equation", ("equation",)))
+SURE = {"label": 0.9, "direction": 0.75, "proximity": 0.7, "far": 0.55}
+BEFORE, AFTER = ("above", "previous"), ("below", "following", "next")
+
+
+def _fits(hint: Column, kind: Column) -> Column:
+    named = reduce(lambda a, b: a | b, [(hint == h) & kind.isin(*kinds) for h, kinds in FITS])
+    return F.coalesce(named, F.lit(False)) | (hint.isNull() & kind.isin(*T.ASSET_TYPES))
+
+
+def _right_side(direction: Column, at: Column, here: Column) -> Column:
+    return F.coalesce(F.when(direction.isin(*BEFORE), at < here).when(direction.isin(*AFTER), at > here), F.lit(True))
+
+
 def resolve_references(refs: DataFrame, assets: DataFrame, window: int = 8) -> DataFrame:
-    """status, target and method of each reference.
+    """status, target, method and confidence of each reference.
 
     refs(document_id, ref_id, page_index, reading_order, direction, hint, label) and
     assets(document_id, asset_id, asset_type, page_index, reading_order, label_text).
     A label that one asset of a fitting type has decides; else the nearest asset of
-    the page in the direction that the phrase names, if one is nearest. Only the
-    page's assets, or those of the document with the label, are compared: pairs stay
-    linear in a document.
+    the page in the direction that the phrase names, if one is nearest; and where
+    the page has none that fits, the nearest of the document, if it is at most
+    window positions away. A direction that no asset of the pool lies in doesn't
+    count. Compared are the page's assets, and those in three stretches of window
+    positions: pairs stay linear in a document.
     """
-    fits = reduce(lambda a, b: a | b, [
-        (F.coalesce(F.col("hint"), F.lit("any")) == h) & F.col("asset_type").isin(*kinds)
-        for h, kinds in (("figure", ("figure", "image", "diagram")), ("image", ("image", "figure")), ("diagram", ("diagram", "figure")), ("graph", ("figure", "diagram")), ("table", ("table",)), ("equation", ("equation",)), ("any", T.ASSET_TYPES))
-    ])
+    key = ["document_id", "ref_id"]
+    hint, kind = F.col("hint"), F.col("asset_type")
     label = F.coalesce(*(F.nullif(F.lower(F.regexp_extract("label_text", T.REFERENCE_LABEL, i)), F.lit("")) for i in (1, 2, 3)))
     labelled = assets.withColumn("label", label).filter("label is not null")
-    by_label = refs.filter("label is not null").join(labelled.select("document_id", "label", "asset_id", "asset_type"), ["document_id", "label"]).filter(fits)
-    by_label = by_label.groupBy("document_id", "ref_id").agg(F.count(F.lit(1)).alias("n_labelled"), F.min("asset_id").alias("labelled"))
-    near = refs.alias("r").join(assets.select("document_id", "page_index", "asset_id", "asset_type", F.col("reading_order").alias("at")).alias("a"), ["document_id", "page_index"]).filter(fits)
-    near = near.withColumns({"away": F.abs(F.col("at") - F.col("reading_order")), "right": F.coalesce(F.when(F.col("direction").isin("above", "previous"), F.col("at") < F.col("reading_order")).when(F.col("direction").isin("below", "following", "next"), F.col("at") > F.col("reading_order")), F.lit(True))})
-    best = near.groupBy("document_id", "ref_id", "away", "right").agg(F.count(F.lit(1)).alias("ties"), F.min("asset_id").alias("nearest")).groupBy("document_id", "ref_id").agg(F.min_by(F.struct("ties", "nearest", "away"), F.struct(~F.col("right"), "away")).alias("b"))
-    out = refs.join(by_label, ["document_id", "ref_id"], "left").join(best, ["document_id", "ref_id"], "left")
+    by_label = refs.filter("label is not null").join(labelled.select("document_id", "label", "asset_id", "asset_type"), ["document_id", "label"]).filter(_fits(hint, kind))
+    by_label = by_label.groupBy(*key).agg(F.count(F.lit(1)).alias("n_labelled"), F.min("asset_id").alias("labelled"))
+
+    def nearest(pairs: DataFrame) -> DataFrame:
+        seen = pairs.filter(_fits(hint, kind)).withColumns({"away": F.abs(F.col("at") - F.col("reading_order")), "right": _right_side(F.col("direction"), F.col("at"), F.col("reading_order"))})
+        tied = seen.groupBy(*key, "away", "right").agg(F.count(F.lit(1)).alias("ties"), F.min("asset_id").alias("nearest"))
+        return tied.groupBy(*key).agg(F.min_by(F.struct("ties", "nearest", "right"), F.struct(~F.col("right"), "away")).alias("b"))
+
+    placed = assets.select("document_id", "page_index", "asset_id", "asset_type", F.col("reading_order").alias("at"))
+    here = nearest(refs.join(placed, ["document_id", "page_index"]))
+    # on other pages: whether any asset at all lies in the direction is told by the document's first and last of each type
+    ends = placed.groupBy("document_id", "asset_type").agg(F.min("at").alias("first"), F.max("at").alias("last"))
+    alone = refs.join(here.select(*key), key, "left_anti")
+    toward = F.when(F.col("direction").isin(*BEFORE), F.col("first") < F.col("reading_order")).when(F.col("direction").isin(*AFTER), F.col("last") > F.col("reading_order")).otherwise(False)
+    heads = alone.join(ends, "document_id").filter(_fits(hint, kind)).groupBy(*key).agg(F.max(F.coalesce(toward, F.lit(False))).alias("one_side"))
+    stretch = lambda c: F.floor(F.col(c) / window)
+    around = alone.join(heads, key).withColumn("s", F.explode(F.array(*(stretch("reading_order") + i for i in (-1, 0, 1)))))
+    far = around.drop("page_index").join(placed.withColumn("s", stretch("at")), ["document_id", "s"]).filter(F.abs(F.col("at") - F.col("reading_order")) <= window)
+    far = nearest(far.filter(~F.col("one_side") | _right_side(F.col("direction"), F.col("at"), F.col("reading_order"))).drop("s"))
+    best = here.withColumn("same_page", F.lit(True)).unionByName(far.withColumn("same_page", F.lit(False)))
+    out = refs.join(by_label, key, "left").join(best, key, "left")
     status = F.when(F.col("n_labelled") == 1, "resolved").when(F.col("n_labelled") > 1, "ambiguous").when(F.col("b").isNull(), "no_candidate").when(F.col("b.ties") > 1, "ambiguous").otherwise("resolved")
     method = F.when(F.col("n_labelled") >= 1, "label").when(F.col("b").isNotNull(), F.when(F.col("direction").isNotNull() & (F.col("b.ties") == 1), "direction").otherwise("proximity"))
     out = out.withColumns({"status": status, "method": method})
     target = F.when(F.col("status") == "resolved", F.when(F.col("method") == "label", F.col("labelled")).otherwise(F.col("b.nearest")))
-    confidence = F.when(F.col("status") != "resolved", 0.0).when(F.col("method") == "label", 0.9).when(F.col("method") == "direction", 0.75).otherwise(0.7)
+    confidence = F.when(F.col("status") != "resolved", 0.0).when(F.col("method") == "label", SURE["label"]).when(F.col("method") == "direction", SURE["direction"]).when(F.col("same_page"), SURE["proximity"]).otherwise(SURE["far"])
     return out.select("document_id", "ref_id", "status", target.alias("target_id"), "method", confidence.alias("confidence"))
 
 

@@ -101,8 +101,9 @@ def q_low_yield_pages(spark, sf):
     return corpus.low_yield_pages(live(spark, sf), table(spark, sf, "pages"))
 
 
-def _duplicates(tbl: str, column: str) -> str:
-    key = f"substr(regexp_replace(lower(trim(coalesce({column}, ''), ' ')), '\\s+', ' ', 'g'), 1, 200)"
+def _duplicates(tbl: str, column: str, whole: bool = False) -> str:
+    key = f"regexp_replace(lower(trim(coalesce({column}, ''), ' ')), '\\s+', ' ', 'g')"
+    key = f"trim({key}, ' ')" if whole else f"substr({key}, 1, 200)"
     return f"SELECT sha256(k) AS text_key, count(*) - 1 AS surplus FROM (SELECT {key} AS k FROM {tbl}) WHERE k <> '' GROUP BY k HAVING count(*) > 1"
 
 
@@ -112,7 +113,7 @@ def q_duplicate_questions(spark, sf):
     return corpus.duplicate_texts(table(spark, sf, "questions"), "question_text")
 
 
-@query(_duplicates("documents", "text"))
+@query(_duplicates("documents", "text", whole=True))
 def q_duplicate_documents(spark, sf):
     """AGG-13: whole documents that come more than once."""
     return corpus.duplicate_texts(table(spark, sf, "documents"), "text", length=None)
@@ -299,7 +300,24 @@ def q_reference_phrases(spark, sf):
     return structure.references(table(spark, sf, "raw_blocks")).drop("page_index", "reading_order")
 
 
-@query()
+_REF_LABEL = "coalesce(" + ", ".join(f"nullif(lower(regexp_extract(lt, {S.lit(T.REFERENCE_LABEL)}, {i})), '')" for i in (1, 2, 3)) + ")"
+_REF_FITS = " OR ".join(f"(hint = '{h}' AND asset_type IN {S.in_list(kinds)})" for h, kinds in structure.FITS)
+_REF_RIGHT = f"CASE WHEN direction IN {S.in_list(structure.BEFORE)} THEN spot < ro WHEN direction IN {S.in_list(structure.AFTER)} THEN spot > ro END"
+
+
+@query(f"""WITH {S.BLOCKS}, ph AS (SELECT DISTINCT document_id, raw_id, page_index, reading_order AS ro, ix, phrase FROM (SELECT document_id, raw_id, page_index, reading_order, unnest(refs) AS phrase, generate_subscripts(refs, 1) - 1 AS ix FROM raw_blocks WHERE document_id IS NOT NULL) WHERE phrase IS NOT NULL),
+r AS (SELECT document_id, raw_id || ':' || ix AS ref_id, page_index, ro, {_parts('phrase')} FROM ph),
+a AS (SELECT *, {_REF_LABEL} AS a_label FROM (SELECT document_id, block_id AS asset_id, block_type AS asset_type, page_index AS a_page, reading_order AS spot, concat_ws(' ', caption, text) AS lt FROM b WHERE block_type IN {S.ASSETS})),
+c AS (SELECT r.*, asset_id, a_page, spot, a_label, coalesce(a_page = page_index, false) AS near FROM r JOIN a USING (document_id) WHERE hint IS NULL OR {_REF_FITS}),
+lb AS (SELECT document_id, ref_id, count(*) AS n_labelled, min(asset_id) AS labelled FROM c WHERE label = a_label GROUP BY ALL),
+p1 AS (SELECT * FROM (SELECT *, bool_or(near) OVER w AS any_near FROM c WINDOW w AS (PARTITION BY document_id, ref_id)) WHERE near OR NOT any_near),
+p2 AS (SELECT * FROM (SELECT *, coalesce({_REF_RIGHT}, direction IS NULL) AS ok, bool_or(coalesce({_REF_RIGHT}, false)) OVER w AS any_ok FROM p1 WINDOW w AS (PARTITION BY document_id, ref_id)) WHERE ok OR NOT any_ok),
+p3 AS (SELECT *, abs(spot - ro) AS away, min(abs(spot - ro)) OVER w AS least_away FROM p2 WINDOW w AS (PARTITION BY document_id, ref_id)),
+n AS (SELECT document_id, ref_id, count(*) AS ties, min(asset_id) AS nearest, bool_or(near) AS same_page FROM p3 WHERE away = least_away AND (near OR away <= 8) GROUP BY ALL),
+s AS (SELECT r.*, n_labelled, labelled, nearest, ties, same_page, CASE WHEN n_labelled = 1 THEN 'resolved' WHEN n_labelled > 1 THEN 'ambiguous' WHEN ties IS NULL THEN 'no_candidate' WHEN ties > 1 THEN 'ambiguous' ELSE 'resolved' END AS status,
+  CASE WHEN n_labelled >= 1 THEN 'label' WHEN ties IS NOT NULL THEN CASE WHEN direction IS NOT NULL AND ties = 1 THEN 'direction' ELSE 'proximity' END END AS method FROM r LEFT JOIN lb USING (document_id, ref_id) LEFT JOIN n USING (document_id, ref_id))
+SELECT document_id, ref_id, status, CASE WHEN status = 'resolved' THEN CASE WHEN method = 'label' THEN labelled ELSE nearest END END AS target_id, method,
+  (CASE WHEN status <> 'resolved' THEN 0 WHEN method = 'label' THEN 0.9 WHEN method = 'direction' THEN 0.75 WHEN same_page THEN 0.7 ELSE 0.55 END)::DOUBLE AS confidence FROM s""")
 def q_resolved_references(spark, sf):
     """JON-4: references with their target by label, direction or nearness."""
     refs = structure.references(table(spark, sf, "raw_blocks")).dropDuplicates(["document_id", "raw_id", "ref_ix"]).withColumn("ref_id", F.concat_ws(":", "raw_id", "ref_ix"))

@@ -41,11 +41,13 @@ def build(spark: SparkSession, folder: str, config: EngineConfig | None = None)
     t["graph_nodes"] = graph.nodes(t["live"], t["hierarchy"], t["pages"])
     t["graph_edges"] = graph.edges(t["live"], t["hierarchy"])
     leaves = retrieval.leaf_questions(t["questions"])
-    t["evidence"] = stage(answers.ranked(retrieval.structural_candidates(leaves, t["live"], t["edges"]), t["live"], config.top_candidates), "evidence")
+    found = stage(retrieval.structural_candidates(leaves, t["live"], t["edges"]), "found")
+    t["evidence"] = stage(answers.ranked(found, t["live"], config.top_candidates), "evidence")
+    t["fused"] = stage(retrieval.fused_evidence(leaves, t["live"], found, retrieval.block_bm25(leaves, t["live"], config.bm25_top), k=config.top_candidates), "fused")
     t["associations"] = stage(answers.associate(leaves, t["live"], t["evidence"]), "associations")
     stored = stage(answers.stored_answers(t["questions"]), "stored")
     t["findings"] = stage(answers.findings(stored, t["live"], t["evidence"]), "findings")
-    t["gated"] = stage(answers.calibrated(stored, t["evidence"], t["findings"]), "gated")
+    t["gated"] = stage(answers.calibrated(stored, t["evidence"], t["findings"], t["fused"]), "gated")
     t["escalations"] = answers.escalation_queue(t["gated"], config.escalations)
     t["orphans"] = stage(references.orphan_references(*(t[n] for n in ("blocks", "hierarchy", "questions", "edges", "pages", "raw_blocks"))), "orphans")
     return t

@@ -18,7 +18,7 @@ def corner(i: int) -> str:
 BLOCKS = f"""b AS (
   SELECT document_id, block_id, coalesce(lower(block_type), 'other') AS block_type, text, latex, caption, heading_level, page_index, col_ix, reading_order,
     nullif(section_id, '') AS section_id, nullif(part_of_id, '') AS part_of_id, nullif(continuation_of, '') AS continuation_of, nullif(continues_to, '') AS continues_to,
-    group_role, enumerator, or_group_id, inline_answer, extraction_confidence, {corner(0)} AS x0, {corner(1)} AS y0, {corner(2)} AS x1, {corner(3)} AS y1
+    group_role, enumerator, or_group_id, inline_answer, tags, extraction_confidence, {corner(0)} AS x0, {corner(1)} AS y0, {corner(2)} AS x1, {corner(3)} AS y1
   FROM (SELECT *, row_number() OVER (PARTITION BY document_id, block_id ORDER BY ingested_at DESC NULLS LAST, deleted_at IS NOT NULL DESC) AS rn
         FROM blocks WHERE document_id IS NOT NULL AND block_id <> '')
   WHERE rn = 1 AND deleted_at IS NULL
