@@ -21,10 +21,12 @@ def main(argv: list[str] | None = None) -> int:
     run = sub.add_parser("run", help="build and write all tables and metrics")
     run.add_argument("--input", required=True)
     run.add_argument("--output", required=True)
+    run.add_argument("--gold-dir", help="folder of gold files to compare with")
     query = sub.add_parser("query", help="show or write the result of one query")
     query.add_argument("name")
     query.add_argument("--input", required=True)
     query.add_argument("--output")
+    query.add_argument("--document-id", help="only rows of this document, where the result has the column")
     sub.add_parser("list", help="names of the queries")
     args = parser.parse_args(argv)
     if args.command == "list":
@@ -35,7 +37,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "run":
         from folioflow.plans import pipeline
 
-        failed = pipeline.run(spark, args.input, args.output)
+        failed = pipeline.run(spark, args.input, args.output, gold_folder=args.gold_dir)
         for name, error in failed.items():
             print(f"metric {name} failed: {error}")
         return int(bool(failed))
@@ -43,6 +45,8 @@ def main(argv: list[str] | None = None) -> int:
     if args.name not in known:
         parser.error(f"no query is named {args.name}")
     df = known[args.name](spark, args.input)
+    if args.document_id is not None and "document_id" in df.columns:
+        df = df.filter(df.document_id == args.document_id)
     if args.output:
         df.write.mode("overwrite").parquet(args.output)
     else:

@@ -40,6 +40,7 @@ BARE_NUMBER = r"^\s*(?:Q\s*\.?\s*)?(?:\d{1,3}(?:\.\d{1,3})?|[A-Z])\s*[.):]?\s*$"
 BLOOM = r"(?i)\((Remember|Understand|Apply|Analyse|Analyze|Evaluate|Create)\)"
 MARKS_AFTER_BLOOM = r"(?i)\((?:Remember|Understand|Apply|Analyse|Analyze|Evaluate|Create)\)\s*(\d+)"
 MARKS_BANNER = r"(?i)\[\s*(\d+)\s*marks?\s*\]"
+TOPIC_HEADING = r"(?i)^\s*topic\s+\d+"
 SELF_ASSESSMENT = r"(?i)self[\s-]*assessment"
 BANNER_MARKS = (
     (r"(?i)very short answer|\bvsa\b", 1), (r"(?i)short answer.*(ii|2)|\bsa[\s-]*ii\b", 3), (r"(?i)short answer.*(i|1)|\bsa[\s-]*i\b", 2),

@@ -111,6 +111,20 @@ def duplicate_texts(df: DataFrame, column: str, length: int | None = 200) -> Dat
     return df.select(F.sha2(key, 256).alias("text_key"), key.alias("k")).filter("k <> ''").groupBy("text_key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("text_key", (F.col("n") - 1).alias("surplus"))
 
 
+def block_tags(blocks: DataFrame) -> DataFrame:
+    """Marks, Bloom level and source of the blocks that have any, and the heading level that a text hints at.
+
+    What the parser tagged wins; what the text says itself fills the gaps.
+    """
+    own = lambda name: F.nullif(F.trim(F.try_element_at("tags", F.lit(name))), F.lit(""))
+    said = lambda pattern: F.nullif(F.regexp_extract(T.text_of("text"), pattern, 1), F.lit(""))
+    tags = blocks.select(
+        "document_id", "block_id", F.coalesce(own("marks"), said(T.MARKS_AFTER_BLOOM), said(T.MARKS_BANNER)).alias("marks"), F.coalesce(own("bloom"), F.lower(said(T.BLOOM))).alias("bloom"), own("source").alias("source"),
+        F.when(T.text_of("text").rlike(T.TOPIC_HEADING), 1).alias("level_hint"),
+    )
+    return tags.filter(F.coalesce("marks", "bloom", "source", F.col("level_hint").cast("string")).isNotNull())
+
+
 def content_hash(blocks: DataFrame, span: int = SPAN) -> DataFrame:
     """SHA-256 of each document's blocks in reading order, as a hash of hashes over spans of positions."""
     line = F.concat_ws("|", "block_id", T.text_of("text"))

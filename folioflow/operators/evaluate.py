@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioflow.functions import text as T
@@ -48,6 +48,14 @@ def _greedy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _ARROW)], schema=_ARROW)
 
 
+def greedy_in_documents(pairs: DataFrame, least: float) -> DataFrame:
+    """greedy_matches() inside each document, with the document."""
+    named = pairs.withColumns({c: F.concat_ws("\x01", "document_id", c) for c in ("gold_id", "got_id")})
+    found = greedy_matches(named, ["document_id"], least)
+    part = lambda c, i: F.split(c, "\x01")[i]
+    return found.select(part("gold_id", 0).alias("document_id"), part("gold_id", 1).alias("gold_id"), part("got_id", 1).alias("got_id"), "score")
+
+
 def greedy_matches(pairs: DataFrame, keys: list[str], least: float) -> DataFrame:
     """One-to-one matches of pairs(keys, gold_ix, gold_id, got_id, score): golds in order take the best unclaimed one.
 
@@ -67,6 +75,39 @@ def box_matches(gold: DataFrame, got: DataFrame, least: float = BOX_MATCH) -> Da
     return greedy_matches(pairs, ["document_id", "page_index"], least)
 
 
+def question_pairs(gold: DataFrame, got: DataFrame, least: float = MATCH) -> DataFrame:
+    """Pairs of a gold and a found question of one document whose texts agree enough, with the token coverage as score.
+
+    gold(document_id, gold_ix, gold_id, gold_text), got(document_id, got_id,
+    got_text). A pair that covers enough shares one of the gold's rarest tokens:
+    those that must be among the covered ones, as all others together are too few.
+    So only pairs with such a token in common are compared. Golds without tokens
+    match nothing.
+    """
+    tokens = lambda df, key, text: df.select("document_id", key, F.explode(T.all_tokens(text)).alias("token")).groupBy("document_id", key, "token").agg(F.count(F.lit(1)).alias("n"))
+    wanted, have = tokens(gold, "gold_id", "gold_text"), tokens(got, "got_id", "got_text")
+    often = have.groupBy("document_id", "token").agg(F.count(F.lit(1)).alias("df"))
+    own = Window.partitionBy("document_id", "gold_id")
+    ranked = wanted.join(often, ["document_id", "token"], "left").withColumn("total", F.sum("n").over(own)).withColumn("so_far", F.sum("n").over(own.orderBy(F.desc(F.coalesce("df", F.lit(0))), "token")))
+    rare = ranked.filter(F.col("so_far") >= least * F.col("total") - 1e-9).select("document_id", "gold_id", "token")
+    pairs = rare.join(have.select("document_id", "token", "got_id"), ["document_id", "token"]).select("document_id", "gold_id", "got_id").distinct()
+    texts = pairs.join(gold, ["document_id", "gold_id"]).join(got, ["document_id", "got_id"])
+    return texts.select("document_id", "gold_ix", "gold_id", "got_id", token_coverage(F.col("gold_text"), F.col("got_text")).alias("score")).filter(F.col("score") >= least)
+
+
+def gold_metrics(matches: DataFrame, gold: DataFrame, got: DataFrame) -> DataFrame:
+    """Recall, completeness and accuracy of the matches in one row; rates of nothing are null, and none is averaged with another.
+
+    gold(document_id, gold_id, gold_type, gold_marks), got(document_id, got_id, got_type, got_marks).
+    """
+    d = gold.join(matches, ["document_id", "gold_id"], "left").join(got, ["document_id", "got_id"], "left")
+    hit = F.col("got_id").isNotNull()
+    return d.agg(
+        F.count(F.lit(1)).alias("n_gold"), F.count_if(hit).alias("n_matched"), F.avg(hit.cast("int")).alias("recall"), F.avg(F.when(hit, (F.col("score") >= COMPLETE).cast("int"))).alias("complete"), F.avg("score").alias("mean_completeness"),
+        F.avg(F.when(hit & F.col("gold_type").isNotNull(), (F.col("gold_type") == F.col("got_type")).cast("int"))).alias("type_accuracy"), F.avg(F.when(hit & F.col("gold_marks").isNotNull(), F.coalesce(F.col("gold_marks") == F.col("got_marks"), F.lit(False)).cast("int"))).alias("marks_accuracy"),
+    )
+
+
 def rates(matches: DataFrame, n_gold: int, n_got: int) -> dict[str, float]:
     """Recall, precision and completeness of matches."""
     row = matches.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.avg("score"), F.lit(0.0)).alias("mean"), F.count_if(F.col("score") >= COMPLETE).alias("complete")).first()

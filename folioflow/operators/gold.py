@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.functions import text as T
@@ -62,6 +62,54 @@ def question_checks(questions: DataFrame, gold: DataFrame) -> DataFrame:
     return gold.select(*keys).join(first, keys, "left").select(*keys, F.coalesce("passed", F.lit(False)).alias("passed"))
 
 
+# Fields of the gold files, one JSON object a line.
+FILES = {
+    "structure": "document_id string, check_id string, kind string, needle string, expect_int int, expect_text string, page_from int, page_to int",
+    "questions": "document_id string, check_id string, text_contains string, question_number string, source_type string, expect_type string, expect_marks double, expect_status string, min_parts int",
+    "question_counts": "document_id string, check_id string, source_type string, question_type string, text_contains string, least int, most int",
+    "answers": "document_id string, check_id string, text_contains string, question_number string, expect_status string, answer_contains string, expect_method string",
+}
+
+
+def read_gold(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The gold files of a folder by name, each with its schema; a file that is not there has no checks."""
+    jvm = spark.sparkContext._jvm
+    out = {}
+    for name, schema in FILES.items():
+        path = f"{folder.rstrip('/')}/{name}.json"
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        there = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+        out[name] = spark.read.schema(schema).json(path) if there else spark.createDataFrame([], schema)
+    return out
+
+
+def count_checks(questions: DataFrame, gold: DataFrame) -> DataFrame:
+    """document_id, check_id and passed: as many questions fit a criterion as it allows; a null bound is none, a null criterion fits all."""
+    keys = ["document_id", "check_id"]
+    q = questions.filter("question_id is not null").dropDuplicates(["document_id", "question_id"]).select("document_id", F.col("source_type").alias("own_source"), F.col("question_type").alias("own_type"), F.lower(T.text_of("question_text")).alias("own_text"))
+    fits = lambda want, own: F.col(want).isNull() | (F.col(want) == F.col(own))
+    said = F.col("text_contains").isNull() | F.contains("own_text", F.lower("text_contains"))
+    hit = gold.join(q, "document_id").filter(fits("source_type", "own_source") & fits("question_type", "own_type") & said).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    n = F.coalesce("n", F.lit(0))
+    return gold.join(hit, keys, "left").select(*keys, ((n >= F.coalesce("least", F.lit(0))) & (F.col("most").isNull() | (n <= F.col("most")))).alias("passed"))
+
+
+def answer_checks(questions: DataFrame, blocks: DataFrame, gold: DataFrame) -> DataFrame:
+    """document_id, check_id and passed: the first question that fits has the status and method, and an answer block that contains what is expected."""
+    keys = ["document_id", "check_id"]
+    q = questions.filter("question_id is not null").dropDuplicates(["document_id", "question_id"]).withColumnRenamed("question_number", "own_number")
+    hit = gold.join(q, "document_id").filter((F.col("text_contains").isNull() | F.contains(F.lower(T.text_of("question_text")), F.lower("text_contains"))) & (F.col("question_number").isNull() | (F.col("question_number") == F.col("own_number"))))
+    a = F.col("answer_association")
+    first = hit.groupBy(*keys).agg(F.min_by(F.struct(a["status"].alias("status"), a["method"].alias("method"), a["answer_block_ids"].alias("ids")), F.struct("ordinal", "question_id")).alias("q"))
+    ids = first.select(*keys, F.explode("q.ids").alias("id")).select(*keys, F.lower(F.trim("id")).alias("block_id"))
+    shown = ids.join(blocks.select("document_id", "block_id", F.lower(F.concat_ws(" ", "text", "caption")).alias("body")), ["document_id", "block_id"]).join(gold.select(*keys, "answer_contains"), keys)
+    holds = shown.filter(F.contains("body", F.lower("answer_contains"))).select(*keys).distinct().withColumn("holds", F.lit(True))
+    d = gold.join(first, keys, "left").join(holds, keys, "left")
+    same = lambda want, own: F.col(want).isNull() | F.coalesce(F.col(want) == F.col(own), F.lit(False))
+    ok = F.col("q").isNotNull() & same("expect_status", "q.status") & same("expect_method", "q.method") & (F.col("answer_contains").isNull() | F.coalesce("holds", F.lit(False)))
+    return d.select(*keys, ok.alias("passed"))
+
+
 def pass_rate(checks: DataFrame) -> DataFrame:
     """Checks, passed ones and the rate in percent."""
     n, ok = F.count(F.lit(1)), F.count_if("passed")

@@ -170,15 +170,16 @@ def fused_evidence(leaves: DataFrame, blocks: DataFrame, structural: DataFrame,
     keys = ("document_id", "question_id")
     lexical = lexical.select(*keys, "block_id", F.col("share").alias("score"))
     semantic = lexical.limit(0) if semantic is None else semantic.select(*keys, "block_id", F.col("share").alias("score"))
-    one = fuse(structural, lexical, semantic, k, keys)
-    sections = blocks.select("document_id", "block_id", "section_id")
-    asked = leaves.join(sections, ["document_id", "block_id"]).select(*keys, F.col("section_id").alias("q_section"), F.lit(True).alias("placed"))
-    d = one.join(structural.select(*keys, "block_id", "relationship"), [*keys, "block_id"], "left").join(sections, ["document_id", "block_id"]).join(asked, list(keys), "left")
+    sections = blocks.select("document_id", "block_id", "section_id", "reading_order")
+    best = Window.partitionBy(*keys).orderBy(F.desc("rerank"), "reading_order", "block_id")
+    one = channel_union(structural, lexical, semantic, keys).join(sections, ["document_id", "block_id"]).withColumn("rank", F.row_number().over(best).cast("int")).filter(F.col("rank") <= k)
+    asked = leaves.join(sections.drop("reading_order"), ["document_id", "block_id"]).select(*keys, F.col("section_id").alias("q_section"), F.lit(True).alias("placed"))
+    d = one.join(structural.select(*keys, "block_id", "relationship"), [*keys, "block_id"], "left").join(asked, list(keys), "left")
     in_scope = F.col("relationship").isNotNull() | (F.coalesce("placed", F.lit(False)) & (F.col("section_id") == F.col("q_section")))
     return d.select(*keys, "block_id", F.coalesce("relationship", F.lit("none")).alias("relationship"), F.when(F.coalesce(in_scope, F.lit(False)), "in_scope").otherwise("cross_section").alias("scope"), "strength", "lexical", "rerank", "channels", "rank")
 
 
-def fuse(structural: DataFrame, lexical: DataFrame, semantic: DataFrame, k: int = 6, keys: tuple[str, ...] = ("query_id",)) -> DataFrame:
+def channel_union(structural: DataFrame, lexical: DataFrame, semantic: DataFrame, keys: tuple[str, ...] = ("query_id",)) -> DataFrame:
     """Union of the channels per query and block_id: structural strength decides, the others stay below it.
 
     structural(keys, block_id, strength), lexical and semantic(keys, block_id, score).
@@ -190,8 +191,13 @@ def fuse(structural: DataFrame, lexical: DataFrame, semantic: DataFrame, k: int
     one = every.groupBy(*keys, "block_id").agg(*(F.coalesce(F.max(c), F.lit(0.0)).alias(c) for c in ("st", "le", "se")), *(F.max(F.col(c).isNotNull()).alias(f"h_{c}") for c in ("st", "le", "se")))
     rerank = F.when(F.col("st") > 0, F.col("st")).otherwise(F.round((0.5 * F.col("se") + 0.3 * F.col("le")) * 0.7, 4))
     channels = F.array_join(F.array_compact(F.array(F.when(F.col("h_le"), "lexical"), F.when(F.col("h_se"), "semantic"), F.when(F.col("h_st"), "structural"))), ",")
-    one = one.select(*keys, "block_id", F.col("st").alias("strength"), F.col("le").alias("lexical"), F.col("se").alias("semantic"), rerank.alias("rerank"), channels.alias("channels"))
-    return one.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("rerank"), "block_id")).cast("int")).filter(F.col("rank") <= k)
+    return one.select(*keys, "block_id", F.col("st").alias("strength"), F.col("le").alias("lexical"), F.col("se").alias("semantic"), rerank.alias("rerank"), channels.alias("channels"))
+
+
+def fuse(structural: DataFrame, lexical: DataFrame, semantic: DataFrame, k: int = 6) -> DataFrame:
+    """The k best of channel_union() per query_id."""
+    best = Window.partitionBy("query_id").orderBy(F.desc("rerank"), "block_id")
+    return channel_union(structural, lexical, semantic).withColumn("rank", F.row_number().over(best).cast("int")).filter(F.col("rank") <= k)
 
 
 def leaf_questions(questions: DataFrame) -> DataFrame:
@@ -227,7 +233,17 @@ def _runs(starts: DataFrame, placed: DataFrame, limit: int) -> DataFrame:
     return rows.select("document_id", "start_id", F.explode(F.aggregate("rows", zero, fold, lambda acc: acc["out"])).alias("block_id"))
 
 
-def structural_candidates(leaves: DataFrame, blocks: DataFrame, edges: DataFrame) -> DataFrame:
+def _first_of_section(eligible: DataFrame, bound: int) -> DataFrame:
+    """The first answer blocks of each section in reading order, and those whose continuation is among its first ones."""
+    first = F.row_number().over(Window.partitionBy("document_id", "q_section").orderBy("reading_order", "block_id"))
+    targets = eligible.select("document_id", F.col("block_id").alias("continues_to"), F.col("reading_order").alias("to_order"))
+    onward = F.dense_rank().over(Window.partitionBy("document_id", "q_section").orderBy("to_order", "continues_to"))
+    near = eligible.filter("q_section is not null")
+    cols = ("document_id", "q_section", "block_id")
+    return near.withColumn("r", first).filter(F.col("r") <= bound).select(*cols).unionByName(near.join(targets, ["document_id", "continues_to"]).withColumn("r", onward).filter(F.col("r") <= bound).select(*cols)).distinct()
+
+
+def structural_candidates(leaves: DataFrame, blocks: DataFrame, edges: DataFrame, best: int | None = None) -> DataFrame:
     """document_id, question_id, block_id, relationship and strength: answer blocks that a question's place in the document points to.
 
     Of one block's relationships the strongest counts, the first in order of
@@ -235,7 +251,7 @@ def structural_candidates(leaves: DataFrame, blocks: DataFrame, edges: DataFrame
     """
     # both are read by several branches: written once instead of being windowed and joined again in each
     placed = stage(ordering.running(blocks, ["document_id"], "reading_order", {"n": F.lit(1)}), "placed")
-    eligible = blocks.filter(F.col("block_type").isin(*T.ANSWER_TYPES)).select("document_id", "block_id", "part_of_id", "section_id", "text", "enumerator", "continues_to")
+    eligible = blocks.filter(F.col("block_type").isin(*T.ANSWER_TYPES)).select("document_id", "block_id", "part_of_id", "section_id", "text", "enumerator", "continues_to", "reading_order")
     q = leaves.join(placed.select("document_id", "block_id", "n", F.col("part_of_id").alias("q_part"), F.col("section_id").alias("q_section")), ["document_id", "block_id"]).withColumnRenamed("block_id", "q_block")
     q = stage(q.drop("question_text"), "asked")
     example = blocks.select("document_id", F.col("block_id").alias("q_part"), (F.col("block_type") == "worked_example").alias("is_example"))
@@ -254,16 +270,19 @@ def structural_candidates(leaves: DataFrame, blocks: DataFrame, edges: DataFrame
     refers = edges.filter("edge_type = 'refers_to'").select("document_id", clean("src").alias("q_block"), clean("dst").alias("block_id")).distinct()
     assets = blocks.filter(F.col("block_type").isin("table", "equation")).select("document_id", "block_id")
     four = rel(q.join(refers, ["document_id", "q_block"]).join(assets, ["document_id", "block_id"]), F.lit("refers_to"), F.lit(0.75), 4)
-    near = q.filter("q_section is not null").join(eligible.select("document_id", "block_id", F.col("section_id").alias("q_section")), ["document_id", "q_section"]).filter("block_id <> q_block")
+    around = eligible.select("document_id", "block_id", F.col("section_id").alias("q_section"), "reading_order", "continues_to")
+    # of the first 2 * best + 1 at most best are stronger by another relationship, and one is the question itself
+    around = around if best is None else _first_of_section(around, 2 * best + 1)
+    near = q.filter("q_section is not null").join(around.select("document_id", "block_id", "q_section"), ["document_id", "q_section"]).filter("block_id <> q_block")
     five = rel(near, F.lit("same_section"), F.lit(0.6), 5)
     every = one
     for more in (two, three, four, five):
         every = every.unionByName(more.select(*cols))
-    best = lambda df: df.groupBy("document_id", "question_id", "block_id").agg(F.max_by(F.struct("relationship", "strength", "source"), F.struct("strength", -F.col("source"))).alias("b")).select("document_id", "question_id", "block_id", "b.*")
-    first = best(every)
+    strongest = lambda df: df.groupBy("document_id", "question_id", "block_id").agg(F.max_by(F.struct("relationship", "strength", "source"), F.struct("strength", -F.col("source"))).alias("b")).select("document_id", "question_id", "block_id", "b.*")
+    first = strongest(every)
     onward = first.join(eligible.filter("continues_to is not null").select("document_id", "block_id", F.col("continues_to").alias("to")), ["document_id", "block_id"]).join(eligible.select("document_id", F.col("block_id").alias("to")), ["document_id", "to"])
     six = rel(onward.drop("block_id", "relationship", "source").withColumnRenamed("to", "block_id"), F.lit("continuation"), F.greatest(F.lit(0.8), F.col("strength") - 0.05), 6)
-    return best(first.unionByName(six)).select("document_id", "question_id", "block_id", "relationship", "strength")
+    return strongest(first.unionByName(six)).select("document_id", "question_id", "block_id", "relationship", "strength")
 
 
 def structural_neighbours(blocks: DataFrame, wanted: DataFrame, k: int = 10) -> DataFrame:

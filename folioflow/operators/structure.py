@@ -266,8 +266,8 @@ def numbering_gaps(numbered: DataFrame) -> DataFrame:
     """Missing numbers of each series(series, n) of three or more distinct numbers: first and last missing of every gap."""
     distinct = numbered.filter("series is not null and n is not null").select("series", "n").distinct()
     big = distinct.groupBy("series").agg(F.count(F.lit(1)).alias("c")).filter("c >= 3").select("series")
-    after = F.lead("n").over(Window.partitionBy("series").orderBy("n"))
-    return distinct.join(big, "series").withColumn("after", after).filter("after > n + 1").select("series", (F.col("n") + 1).alias("first_missing"), (F.col("after") - 1).alias("last_missing"))
+    # numbers are windowed in stretches, so that a long series is many tasks' work
+    return ordering.neighbours(distinct.join(big, "series"), ["series"], "n", following={"after": F.col("n")}).filter("after > n + 1").select("series", (F.col("n") + 1).alias("first_missing"), (F.col("after") - 1).alias("last_missing"))
 
 
 def boxes_that_overlap(blocks: DataFrame, least: float = 0.5) -> DataFrame:

@@ -83,11 +83,11 @@ def q_leaf_questions(spark, sf):
     return retrieval.leaf_questions(table(spark, sf, "questions"))
 
 
-def evidence_of(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Leaves, blocks and ranked structural evidence."""
+def evidence_of(spark: SparkSession, sf: str, best: int | None = answers.TOP) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Leaves, blocks and structural candidates, at least the best of each question."""
     blocks = stage(live(spark, sf), "live")
     leaves = retrieval.leaf_questions(table(spark, sf, "questions"))
-    found = retrieval.structural_candidates(leaves, blocks, table(spark, sf, "edges"))
+    found = stage(retrieval.structural_candidates(leaves, blocks, table(spark, sf, "edges"), best), "found")
     return leaves, blocks, found
 
 
@@ -135,7 +135,7 @@ ev AS (SELECT * FROM (SELECT c.*, b.reading_order, b.block_type, row_number() OV
 @query(f"WITH RECURSIVE {_CANDIDATES} SELECT document_id, question_id, block_id, relationship, strength FROM cand")
 def q_structural_candidates(spark, sf):
     """RET-1, JON-9..JON-15: answer blocks that a question's place points to."""
-    return evidence_of(spark, sf)[2]
+    return evidence_of(spark, sf, None)[2]
 
 
 @query(f"WITH RECURSIVE {_CANDIDATES} SELECT document_id, question_id, block_id, relationship, strength, CAST(rank AS INTEGER) AS rank FROM ev")
@@ -219,7 +219,7 @@ lx AS (SELECT document_id, question_id, block_id, score / max(score) OVER (PARTI
 fa AS (SELECT document_id, question_id, block_id, coalesce(max(st), 0) AS strength, coalesce(max(le), 0) AS lexical, concat_ws(',', CASE WHEN count(le) > 0 THEN 'lexical' END, CASE WHEN count(st) > 0 THEN 'structural' END) AS channels
   FROM (SELECT document_id, question_id, block_id, strength AS st, NULL::DOUBLE AS le FROM cand UNION ALL SELECT document_id, question_id, block_id, NULL, share FROM lx) GROUP BY ALL),
 fb AS (SELECT *, CASE WHEN strength > 0 THEN strength ELSE round(0.3::DOUBLE * lexical * 0.7::DOUBLE, 4) END AS rerank FROM fa),
-fu AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY document_id, question_id ORDER BY rerank DESC, block_id) AS rank FROM fb) WHERE rank <= 6)"""
+fu AS (SELECT * FROM (SELECT fb.*, row_number() OVER (PARTITION BY fb.document_id, question_id ORDER BY rerank DESC, b.reading_order, fb.block_id) AS rank FROM fb JOIN b ON b.document_id = fb.document_id AND b.block_id = fb.block_id) WHERE rank <= 6)"""
 
 
 @query(f"""WITH RECURSIVE {_CANDIDATES}, {_LEXICAL} SELECT fu.document_id, fu.question_id, fu.block_id, coalesce(cand.relationship, 'none') AS relationship,
@@ -650,3 +650,46 @@ def q_full_texts(spark, sf):
     from folioflow.operators import assemble
 
     return assemble.full_texts(built_of(spark, sf)[1])
+
+
+# ---------------------------------------------------------------- comparison with stored questions
+
+
+def gold_and_got(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The stored top-level questions as gold, and the built ones."""
+    q = table(spark, sf, "questions").filter("document_id is not null and question_id is not null").dropDuplicates(["document_id", "question_id"]).filter("parent_id is null or parent_id = ''")
+    gold = q.select("document_id", F.format_string("%010d %s", F.coalesce("ordinal", F.lit(0)), F.col("question_id")).alias("gold_ix"), F.col("question_id").alias("gold_id"), F.col("question_text").alias("gold_text"), F.col("question_type").alias("gold_type"), F.col("marks").alias("gold_marks"))
+    built = built_of(spark, sf)[1].filter("depth = 0")
+    got = built.select("document_id", F.col("question_id").alias("got_id"), F.col("question_text").alias("got_text"), F.col("question_type").alias("got_type"), F.col("marks").alias("got_marks"))
+    return stage(gold, "gold"), stage(got, "got")
+
+
+def gold_pairs_of(gold: DataFrame, got: DataFrame) -> DataFrame:
+    return evaluate.question_pairs(gold.select("document_id", "gold_ix", "gold_id", "gold_text"), got.select("document_id", "got_id", "got_text"))
+
+
+_ALL = "regexp_extract_all(lower(coalesce({0}, '')), '[a-z0-9]+')"
+
+
+@query(f"""WITH RECURSIVE {_BUILT}, gq AS (SELECT document_id, question_id AS gold_id, question_text AS g FROM (SELECT *, row_number() OVER (PARTITION BY document_id, question_id) AS rn FROM questions WHERE document_id IS NOT NULL AND question_id IS NOT NULL) WHERE rn = 1 AND coalesce(parent_id, '') = ''),
+gc AS (SELECT document_id, gold_id, tok, count(*) AS n FROM (SELECT document_id, gold_id, unnest({_ALL.format('g')}) AS tok FROM gq) GROUP BY ALL),
+gt_ AS (SELECT *, sum(n) OVER (PARTITION BY document_id, gold_id) AS total FROM gc),
+ft AS (SELECT document_id, block_id AS got_id, tok, count(*) AS n FROM (SELECT document_id, block_id, unnest({_ALL.format('t')}) AS tok FROM q1 WHERE depth = 0) GROUP BY ALL)
+SELECT document_id, gold_id, got_id, CAST(sum(least(g.n, f.n)) AS DOUBLE) / any_value(total) AS score FROM gt_ g JOIN ft f USING (document_id, tok) GROUP BY ALL HAVING CAST(sum(least(g.n, f.n)) AS DOUBLE) / any_value(total) >= 0.35""")
+def q_gold_pairs(spark, sf):
+    """JON-22: stored and built questions of a document whose texts agree enough."""
+    return gold_pairs_of(*gold_and_got(spark, sf)).drop("gold_ix")
+
+
+@query()
+def q_gold_matches(spark, sf):
+    """JON-22: stored questions matched with built ones, one to one, in their order."""
+    return evaluate.greedy_in_documents(gold_pairs_of(*gold_and_got(spark, sf)), evaluate.MATCH)
+
+
+@query()
+def q_gold_metrics(spark, sf):
+    """AGG-18, AGG-19: recall, completeness and accuracy of the built questions against the stored ones."""
+    gold, got = gold_and_got(spark, sf)
+    matches = evaluate.greedy_in_documents(gold_pairs_of(gold, got), evaluate.MATCH)
+    return evaluate.gold_metrics(matches, gold.select("document_id", "gold_id", "gold_type", "gold_marks"), got.select("document_id", "got_id", "got_type", "got_marks"))

@@ -439,14 +439,36 @@ def q_split_inward(spark, sf):
     return reconstruct.split_inward(texts(spark, sf), "doc_id", "text")
 
 
-@query()
+def _segments(c: str, pattern: str) -> str:
+    """The text cut before every match of a pattern with one group."""
+    return f"string_split(regexp_replace(translate(coalesce({c}, ''), chr(1), ''), {S.lit(pattern)}, chr(1) || '\\1', 'g'), chr(1))"
+
+
+def _option_list(pattern: str) -> str:
+    head = S.lit("^" + pattern)
+    own = rf"regexp_replace(regexp_replace(x, {head}, ''), '^[ .:\n\t]+|[ .:\n\t]+$', '', 'g')"
+    own = f"trim(regexp_replace({own}, '(?i)\\s*\\((Remember|Understand|Apply|Analyse|Analyze|Evaluate|Create)\\)\\s*\\d*\\s*$', ''), ' ')"
+    return f"list_transform(list_filter({_segments('item', pattern)}, lambda x: regexp_matches(x, {head})), lambda x: {{'k': lower(regexp_extract(x, '^\\(\\s*([a-zA-Z]+)\\s*\\)', 1)), 't': substr({own}, 1, 200)}})"
+
+
+_LETTERS, _ROMANS = r"(\(\s*[a-d]\s*\))", rf"(\(\s*(?i:{T.ROMAN})\s*\))"
+_FITS = "len({0}) >= 2 AND list_sum(list_transform({0}, lambda x: length(x.t))) / len({0}) < 160"
+
+
+@query(f"""WITH sg AS (SELECT doc_id, {_segments('text', chr(40) + chr(10) + chr(92) + 'd{1,3}' + chr(92) + '. )')} AS l FROM documents WHERE text IS NOT NULL),
+it AS (SELECT doc_id || ':' || (i - 1) AS item_id, l[i] AS item FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM sg)),
+op AS (SELECT item_id, {_option_list(_LETTERS)} AS a, {_option_list(_ROMANS)} AS b FROM it),
+ch AS (SELECT item_id, CASE WHEN {_FITS.format('a')} THEN a WHEN {_FITS.format('b')} THEN b END AS o FROM op)
+SELECT item_id, CAST(i AS INTEGER) AS ix, o[i + 1].k AS opt_key, o[i + 1].t AS opt_text FROM (SELECT item_id, o, unnest(range(len(o))) AS i FROM ch WHERE o IS NOT NULL)""")
 def q_options(spark, sf):
     """STR-14, STR-20, STR-21: options of the numbered items."""
     items = texts(spark, sf).select("doc_id", F.posexplode(T.marker_segments("text", r"(\n\d{1,3}\. )")).alias("ix", "s")).select(F.concat_ws(":", "doc_id", "ix").alias("item_id"), F.col("s.text").alias("item"))
     return reconstruct.options(items, "item_id", "item")
 
 
-@query()
+@query(f"""WITH s AS (SELECT doc_id, {_segments('text', T.INLINE_MARKER)} AS l FROM documents WHERE text IS NOT NULL), m AS (SELECT doc_id, CASE WHEN l[1] = '' AND len(l) > 1 THEN l[2:] ELSE l END AS l FROM s),
+p AS (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM m WHERE len(l) > 1), o AS (SELECT *, coalesce(list_sum(list_transform(l[1:i - 1], lambda x: length(x))), 0) AS a, lower(l[i]) AS low FROM p)
+SELECT doc_id, CAST(i - 1 AS INTEGER) AS segment, CASE WHEN i = 1 THEN 'question' WHEN starts_with(low, 'expl') THEN 'explanation' WHEN starts_with(low, 'sol') THEN 'solution' ELSE 'answer' END AS role, CAST(a AS INTEGER) AS start, CAST(a + length(l[i]) AS INTEGER) AS "end" FROM o""")
 def q_inline_segments(spark, sf):
     """STR-17: questions and answers inside one text."""
     return reconstruct.inline_segments(texts(spark, sf), "doc_id", "text")
@@ -492,6 +514,18 @@ def q_asking_blocks(spark, sf):
     return live(spark, sf).select("document_id", "block_id", T.asks("text").alias("asks"))
 
 
+_TAG = "nullif(trim(tags['{0}'], ' '), '')"
+_SAID = "nullif(regexp_extract(coalesce(text, ''), {0}, 1), '')"
+
+
+@query(f"""WITH {S.BLOCKS}, t AS (SELECT document_id, block_id, coalesce({_TAG.format('marks')}, {_SAID.format(S.lit(T.MARKS_AFTER_BLOOM))}, {_SAID.format(S.lit(T.MARKS_BANNER))}) AS marks,
+  coalesce({_TAG.format('bloom')}, lower({_SAID.format(S.lit(T.BLOOM))})) AS bloom, {_TAG.format('source')} AS source, CASE WHEN {S.rlike("coalesce(text, '')", T.TOPIC_HEADING)} THEN 1 END AS level_hint FROM b)
+SELECT * FROM t WHERE coalesce(marks, bloom, source, CAST(level_hint AS VARCHAR)) IS NOT NULL""")
+def q_block_tags(spark, sf):
+    """PRS-11, PRS-14, PRS-15, MAP-1: tags of blocks, the parser's before the text's own."""
+    return corpus.block_tags(live(spark, sf))
+
+
 @query("""WITH v(t) AS (VALUES ('Why? (Apply) 3'), ('[board] (understand)'), ('[ 5 marks ] (Create)'), ('plain'), ('[portal] [board 2] [ 2 mark ]'))
 SELECT t, nullif(regexp_extract(t, '(?i)\\((Remember|Understand|Apply|Analyse|Analyze|Evaluate|Create)\\)', 1), '') AS bloom,
   coalesce(nullif(regexp_extract(t, '(?i)\\((?:Remember|Understand|Apply|Analyse|Analyze|Evaluate|Create)\\)\\s*(\\d+)', 1), ''), nullif(regexp_extract(t, '(?i)\\[\\s*(\\d+)\\s*marks?\\s*\\]', 1), '')) AS marks FROM v""")

@@ -115,21 +115,25 @@ def image_sizes(contents: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(sizes, columns=["width", "height"]).astype("Int32")
 
 
-def plan_inputs(files: DataFrame, group: Column | None = None) -> DataFrame:
+def plan_inputs(files: DataFrame, group: Column | None = None, max_pages: int | None = None) -> DataFrame:
     """Each file with page_index or the reason why it is none, per input group: images before the first PDF before all texts."""
     df = files.withColumns({"grp": group if group is not None else F.lit("input"), "kind": media("path")})
     if "reason" not in df.columns:
         df = df.withColumn("reason", F.lit(None).cast("string"))
+    # only names are grouped and ranked; contents are joined to their places at the end
+    names = df.select("grp", "path", "kind", "reason")
     usable = F.col("reason").isNull()
-    have = df.groupBy("grp").agg(F.max((F.col("kind") == "image") & usable).alias("i"), F.max((F.col("kind") == "pdf") & usable).alias("p"), F.min(F.when((F.col("kind") == "pdf") & usable, F.col("path"))).alias("pdf"))
-    df = df.join(have, "grp")
+    have = names.groupBy("grp").agg(F.max((F.col("kind") == "image") & usable).alias("i"), F.max((F.col("kind") == "pdf") & usable).alias("p"), F.min(F.when((F.col("kind") == "pdf") & usable, F.col("path"))).alias("pdf"))
+    names = names.join(have, "grp")
     why = (
         F.when(F.col("reason").isNotNull(), F.col("reason")).when(F.col("kind").isin("other", "zip"), "unsupported file type").when(F.col("i") & (F.col("kind") != "image"), "image pages take precedence")
         .when(F.col("p") & (F.col("kind") == "txt"), "a PDF takes precedence").when((F.col("kind") == "pdf") & (F.col("path") != F.col("pdf")), "only one PDF is taken")
     )
-    df = df.withColumn("ignored", why)
+    names = names.withColumn("ignored", why)
     place = F.row_number().over(Window.partitionBy("grp", F.col("ignored").isNull()).orderBy("path")) - 1
-    return df.select("grp", "path", "kind", "ignored", F.when(F.col("ignored").isNull(), place).cast("int").alias("page_index"), *[c for c in ("content",) if c in df.columns])
+    page = F.when(F.col("ignored").isNull(), place).cast("int")
+    names = names.withColumn("page_index", page).select("grp", "path", "kind", F.when(page >= max_pages, "beyond the page limit").otherwise(F.col("ignored")).alias("ignored"), F.when(page < max_pages, page).alias("page_index")) if max_pages is not None else names.select("grp", "path", "kind", "ignored", page.alias("page_index"))
+    return names.join(df.select("grp", "path", "content"), ["grp", "path"]) if "content" in df.columns else names
 
 
 def ingest_report(plan: DataFrame) -> DataFrame:

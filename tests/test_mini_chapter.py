@@ -45,7 +45,7 @@ LINES = [
     ("table", "|x|y|\n(1) a\n(2) b", 2, [0, 850, 500, 980], {"section_id": "h_2"}), ("table", "|x|y|\n(3) c", 3, [0, 10, 500, 100], {"section_id": "h_2"}),
     ("activity", "Activity 3.1 Take some sand and observe it.", 3, [0, 200, 500, 240], {"section_id": "h_2"}), ("worked_example", "Example 4 How far does it go? (a) In one hour it rolls. (b) In two it stops.\nSolution: 6 m", 3, [0, 300, 500, 360], {"section_id": "h_2", "inline_answer": True}),
 ]
-NONEMPTY = ("q_answer_runs", "q_continuations", "q_exercise_gaps", "q_stem_blocks", "q_in_text_candidates", "q_recoverable", "q_built_questions", "q_full_texts", "q_question_roots", "q_marks", "q_resolved_references", "q_fused_evidence", "q_calibrated", "q_adjudicated", "q_recovered_edges", "q_findings", "q_spans", "q_associations")
+NONEMPTY = ("q_answer_runs", "q_continuations", "q_exercise_gaps", "q_stem_blocks", "q_in_text_candidates", "q_recoverable", "q_built_questions", "q_question_roots", "q_marks", "q_resolved_references", "q_fused_evidence", "q_calibrated", "q_adjudicated", "q_recovered_edges", "q_findings", "q_spans", "q_associations", "q_block_tags")
 
 
 def write(folder, name, schema, rows):
@@ -107,3 +107,53 @@ def test_parts_inside_a_block(spark, folder):
     rows = {r.question_id: r for r in answers.q_split_questions(spark, folder).collect()}
     assert set(rows) == {"blk_00000018#a", "blk_00000018#b"}
     assert rows["blk_00000018#a"].question_text.startswith("(a) In one hour") and rows["blk_00000018#b"].discovery == 0.8
+
+
+def test_gold_matches(spark, folder):
+    from folioflow.operators import evaluate
+
+    gold, got = answers.gold_and_got(spark, folder)
+    scored = answers.gold_pairs_of(gold, got)
+    found = evaluate.greedy_in_documents(scored, evaluate.MATCH)
+    rows = {(r.gold_id, r.got_id) for r in found.collect()}
+    assert rows and rows <= {(r.gold_id, r.got_id) for r in scored.collect()} and len({g for g, _ in rows}) == len(rows) == len({p for _, p in rows})
+    [row] = evaluate.gold_metrics(found, gold.drop("gold_ix", "gold_text"), got.drop("got_text")).collect()
+    assert row.n_gold == 4 and row.n_matched == len(rows) and row.recall == len(rows) / 4
+
+
+def test_gold_files(spark, folder, tmp_path):
+    import json
+
+    from folioflow.operators import corpus, gold
+    from folioflow.session import table
+
+    lines = {
+        "structure": [{"document_id": "ch", "check_id": "s1", "kind": "part_of", "needle": "explain how a dune", "expect_int": 2}, {"document_id": "ch", "check_id": "s2", "kind": "inline", "needle": "example 4", "expect_int": 0}],
+        "question_counts": [{"document_id": "ch", "check_id": "c1", "source_type": "in_text", "least": 4, "most": 4}, {"document_id": "ch", "check_id": "c2", "text_contains": "no such", "least": 1}, {"document_id": "no", "check_id": "c3", "most": 0}],
+        "answers": [
+            {"document_id": "ch", "check_id": "a1", "text_contains": "what does the wind", "expect_status": "matched", "answer_contains": "LEE SIDE"}, {"document_id": "ch", "check_id": "a2", "question_number": "b", "expect_status": "matched"},
+            {"document_id": "ch", "check_id": "a3", "text_contains": "what does the wind", "answer_contains": "nothing like it"}, {"document_id": "ch", "check_id": "a4", "text_contains": "not there"},
+        ],
+    }
+    for name, rows in lines.items():
+        (tmp_path / f"{name}.json").write_text("\n".join(map(json.dumps, rows)))
+    files = gold.read_gold(spark, str(tmp_path))
+    assert files["questions"].count() == 0
+    blocks, questions = corpus.live_blocks(table(spark, folder, "blocks")), table(spark, folder, "questions")
+    columns = spark.createDataFrame([], "document_id string, page_index int, n_columns int")
+    passed = lambda df: {r.check_id for r in df.collect() if r.passed}
+    assert passed(gold.structure_checks(blocks, columns, files["structure"])) == {"s1"}
+    assert passed(gold.count_checks(questions, files["question_counts"])) == {"c1", "c3"}
+    assert passed(gold.answer_checks(questions, blocks, files["answers"])) == {"a1"}
+
+
+def test_pipeline_without_questions(spark, folder, tmp_path):
+    import shutil
+
+    from folioflow.plans import pipeline
+
+    for name in ("blocks", "hierarchy", "edges", "pages", "raw_blocks"):
+        shutil.copy(f"{folder}/{name}.parquet", tmp_path)
+    built = {r.question_id: r for r in pipeline.questions_of(spark, str(tmp_path)).collect()}
+    assert built["blk_00000005"].parent_id is None and built["blk_00000008"].parent_id == "blk_00000005" and "blk_00000006" in built["blk_00000005"].source_blocks
+    assert pipeline.questions_of(spark, folder).count() == 4
