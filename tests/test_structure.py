@@ -68,7 +68,10 @@ def test_references_resolve(spark):
     refs = spark.createDataFrame([("d", f"r{i}", p, 5, d, h, lab) for i, (p, d, h, lab) in enumerate([(0, None, "figure", "2.1"), (0, "below", "figure", None), (0, "above", "table", None), (0, None, "figure", None), (1, None, "table", None), (0, None, "figure", "9.9")])], "document_id string, ref_id string, page_index int, reading_order bigint, direction string, hint string, label string")
     assets = spark.createDataFrame([("d", "f1", "figure", 3, 1, "Figure 2.1"), ("d", "f2", "figure", 0, 7, ""), ("d", "f3", "diagram", 0, 4, ""), ("d", "f4", "figure", 0, 6, ""), ("d", "t1", "table", 0, 2, "")], "document_id string, asset_id string, asset_type string, page_index int, reading_order bigint, label_text string")
     got = {r.ref_id: (r.status, r.target_id, r.method) for r in structure.resolve_references(refs, assets).collect()}
-    assert got == {"r0": ("resolved", "f1", "label"), "r1": ("resolved", "f4", "direction"), "r2": ("resolved", "t1", "direction"), "r3": ("ambiguous", None, "proximity"), "r4": ("no_candidate", None, None), "r5": ("ambiguous", None, "proximity")}
+    # r4's page has no table: the nearest one of another page counts, if it is within the window
+    assert {r.status for r in structure.resolve_references(refs.filter("ref_id = 'r4'"), assets, window=2).collect()} == {"no_candidate"}
+    assert {r.confidence for r in structure.resolve_references(refs.filter("ref_id = 'r4'"), assets).collect()} == {0.55}
+    assert got == {"r0": ("resolved", "f1", "label"), "r1": ("resolved", "f4", "direction"), "r2": ("resolved", "t1", "direction"), "r3": ("ambiguous", None, "proximity"), "r4": ("resolved", "t1", "proximity"), "r5": ("ambiguous", None, "proximity")}
 
 
 def test_numbering_gaps(spark):
