@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
+from array import array
+from collections import Counter
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -75,6 +79,89 @@ def box_matches(gold: DataFrame, got: DataFrame, least: float = BOX_MATCH) -> Da
     return greedy_matches(pairs, ["document_id", "page_index"], least)
 
 
+_TOKEN = re.compile("[a-z0-9]+")
+
+
+def _occurrences(body: str) -> list[tuple[str, int]]:
+    """The tokens of a text, each with how often it came before."""
+    seen: Counter[str] = Counter()
+    out = []
+    for token in _TOKEN.findall(body):
+        out.append((token, seen[token]))
+        seen[token] += 1
+    return out
+
+
+def _golds_and_gots(batches: Iterator[pa.RecordBatch]) -> tuple[list[tuple[str, list]], list[str], dict]:
+    """Golds in order with their token occurrences, ids of the found ones in order, and which of these have an occurrence."""
+    golds, gots = [], []
+    for b in batches:
+        for ix, key, body in zip(*(b.column(c).to_pylist() for c in ("ix", "id", "body"))):
+            if ix is None:
+                gots.append((key, body))
+            else:
+                golds.append((ix, key, _occurrences(body)))
+    golds.sort(key=lambda g: g[:2])
+    gots.sort()
+    places: dict = {o: array("i") for g in golds for o in g[2]}
+    for at, (_, body) in enumerate(gots):
+        for o in _occurrences(body):
+            if o in places:
+                places[o].append(at)
+    return [(key, own) for _, key, own in golds], [key for key, _ in gots], {o: np.frombuffer(a, np.int32) for o, a in places.items() if a}
+
+
+def _shared(own: list, places: dict, n: int) -> np.ndarray | None:
+    """How many occurrences each found text has in common with a gold one: the sum of the lesser counts of its tokens."""
+    hits = [places[o] for o in own if o in places]
+    return np.bincount(np.concatenate(hits), minlength=n) if hits else None
+
+
+def _match(least: float):
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        golds, gots, places = _golds_and_gots(batches)
+        free = np.ones(len(gots), bool)
+        out = []
+        for gold, own in golds:
+            shared = _shared(own, places, len(gots))
+            if shared is None:
+                continue
+            shared *= free
+            best = int(shared.argmax())  # the first of equals, as the ids are in order
+            score = int(shared[best]) / len(own)
+            if score >= least:
+                free[best] = False
+                out.append((key[0].as_py(), gold, gots[best], score))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _MATCHES_ARROW)], schema=_MATCHES_ARROW)
+
+    return run
+
+
+_MATCHES = "document_id string, gold_id string, got_id string, score double"
+_MATCHES_ARROW = pa.schema([("document_id", pa.string()), ("gold_id", pa.string()), ("got_id", pa.string()), ("score", pa.float64())])
+
+
+def _gold_side(gold: DataFrame, chunk: Column) -> DataFrame:
+    known = gold.filter("document_id is not null and gold_id is not null and gold_ix is not null")
+    return known.select("document_id", chunk.cast("bigint").alias("chunk"), F.col("gold_ix").alias("ix"), F.col("gold_id").alias("id"), F.lower(T.text_of("gold_text")).alias("body"))
+
+
+def _got_side(got: DataFrame, chunk: Column) -> DataFrame:
+    known = got.filter("document_id is not null and got_id is not null")
+    return known.select("document_id", chunk.cast("bigint").alias("chunk"), F.lit(None).cast("string").alias("ix"), F.col("got_id").alias("id"), F.lower(T.text_of("got_text")).alias("body"))
+
+
+def question_matches(gold: DataFrame, got: DataFrame, least: float = MATCH) -> DataFrame:
+    """document_id, gold_id, got_id and score: what greedy_in_documents() makes of question_pairs().
+
+    Each gold is scored when its turn comes, so a document's questions are held and
+    not their pairs, of which there are as many as their product.
+    """
+    one = F.lit(0)
+    return _gold_side(gold, one).unionByName(_got_side(got, one)).groupBy("document_id").applyInArrow(_match(least), _MATCHES)
+
+
 def question_pairs(gold: DataFrame, got: DataFrame, least: float = MATCH) -> DataFrame:
     """Pairs of a gold and a found question of one document whose texts agree enough, with the token coverage as score.
 

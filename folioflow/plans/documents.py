@@ -381,10 +381,10 @@ def q_normalised_boxes(spark, sf):
 # ---------------------------------------------------------------- reconstruction
 
 
-def scored(spark: SparkSession, sf: str) -> DataFrame:
-    """Pair scores of the blocks without page furniture."""
+def scored(spark: SparkSession, sf: str, blocks: DataFrame | None = None) -> DataFrame:
+    """Pair scores of the blocks without page furniture; blocks are the live ones, where they are at hand."""
     page = table(spark, sf, "pages").filter("document_id is not null and page_index is not null").groupBy("document_id", "page_index").agg(F.max("height").alias("height"))
-    b = live(spark, sf).filter("block_type <> 'noise'").join(page, ["document_id", "page_index"], "left").withColumn("height", F.coalesce("height", F.lit(1)).cast("double"))
+    b = (live(spark, sf) if blocks is None else blocks).filter("block_type <> 'noise'").join(page, ["document_id", "page_index"], "left").withColumn("height", F.coalesce("height", F.lit(1)).cast("double"))
     return reconstruct.pair_scores(b.withColumnsRenamed({"block_id": "row_id", "reading_order": "position"}), ["document_id"])
 
 
