@@ -696,5 +696,4 @@ def q_gold_matches(spark, sf):
 def q_gold_metrics(spark, sf):
     """AGG-18, AGG-19: recall, completeness and accuracy of the built questions against the stored ones."""
     gold, got = gold_and_got(spark, sf)
-    matches = evaluate.greedy_in_documents(gold_pairs_of(gold, got), evaluate.MATCH)
-    return evaluate.gold_metrics(matches, gold.select("document_id", "gold_id", "gold_type", "gold_marks"), got.select("document_id", "got_id", "got_type", "got_marks"))
+    return evaluate.gold_metrics(gold_matches_of(gold, got), gold.select("document_id", "gold_id", "gold_type", "gold_marks"), got.select("document_id", "got_id", "got_type", "got_marks"))

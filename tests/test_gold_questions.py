@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter
 
+import pytest
+
 from folioflow.operators import evaluate
 from folioflow.plans import answers
 from tests.test_mini_chapter import folder  # noqa: F401
@@ -59,3 +61,12 @@ def test_matching_makes_no_table_of_pairs(spark, folder, monkeypatch):  # noqa:
     want = sorted(map(tuple, evaluate.greedy_in_documents(answers.gold_pairs_of(gold, got), evaluate.MATCH).collect()))
     monkeypatch.setattr(evaluate, "question_pairs", no_pairs)
     assert want and sorted(map(tuple, answers.q_gold_matches(spark, folder).collect())) == want
+
+
+def test_metrics_make_no_table_of_pairs(spark, folder, monkeypatch):  # noqa: F811
+    gold, got = answers.gold_and_got(spark, folder)
+    matches = evaluate.greedy_in_documents(answers.gold_pairs_of(gold, got), evaluate.MATCH)
+    [want] = evaluate.gold_metrics(matches, gold.drop("gold_ix", "gold_text"), got.drop("got_text")).collect()
+    monkeypatch.setattr(evaluate, "question_pairs", no_pairs)
+    [row] = answers.q_gold_metrics(spark, folder).collect()
+    assert want.n_matched > 0 and row.asDict() == pytest.approx(want.asDict())
