@@ -4,11 +4,11 @@ Method: vector best fit. A container has capacities for tokens, for documents
 and for attention cost (the sum of squared lengths, as attention inside each
 document costs). Items come in falling order of length; of all open containers
 that still take an item under every capacity, the one whose weighted residual
-vector would be shortest is chosen. The weights make a token of room count more
-than the whole of the attention room, and that more than the documents', so the
-shortest vector is found by looking at the tightest token residual that has a
-container for the item, and there at the least attention room: two searches in
-sorted lists, whatever the number of containers.
+vector would be shortest is chosen. Residuals are shares of their capacities;
+the weight of a capacity is the number of containers that all items need at
+least by it, so what is scarce counts more. The open containers are held in the
+order of their token residuals, and the norms of all that have the room are
+computed for each item.
 
 Capacities for documents and attention come with the budgets (columns
 ``capacity_docs`` and ``capacity_attention``) or as parameters; without them
@@ -32,9 +32,9 @@ from __future__ import annotations
 
 import base64
 import os
-from bisect import bisect_right, insort
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
@@ -94,65 +94,84 @@ def token_counts(documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
 
 
 class Containers:
-    """Open containers of one vector of capacities."""
+    """Open containers of one vector of capacities; weights are those of the tokens', attention's and documents' residuals."""
 
-    def __init__(self, capacity: int, max_docs: int | None = None, max_cost: int | None = None):
+    def __init__(self, capacity: int, max_docs: int | None = None, max_cost: int | None = None, weights: tuple[float, float, float] = (1.0, 1.0, 1.0)):
         self.capacity = capacity
         self.max_docs = max(1, capacity // TOKENS_A_DOC) if max_docs is None else max(1, max_docs)
-        self.max_cost = capacity * capacity if max_cost is None else max_cost
+        self.max_cost = min(capacity * capacity if max_cost is None else max_cost, 2**62)  # as a 64-bit number
+        self.weights = weights
         self.tokens: list[int] = []
         self.docs: list[int] = []
         self.cost: list[int] = []
         self.held: list[list[tuple[int, int, int]]] = []
-        #: per token residual, (cost, documents, container) in order
-        self.by_room: list[list[tuple[int, int, int]]] = [[] for _ in range(capacity + 1)]
-        self.rooms = 0  # bit r: some open container has r tokens of room
-
-    def residual(self, bin_: int, size: int) -> tuple[int, int, int]:
-        """What a container would have left with an item, heaviest weight first; vectors compare like their weighted norms."""
-        return self.capacity - self.tokens[bin_] - size, self.max_cost - self.cost[bin_] - size * size, self.max_docs - self.docs[bin_] - 1
+        #: of the open containers in order of their token residuals: residuals of tokens, attention and documents, and the container
+        self.open = np.zeros((4, 64), np.int64)
+        self.n_open = 0
+
+    def norm(self, tokens, cost, docs):
+        """The weighted norm, squared, of a residual vector whose parts are shares of their capacities."""
+        a, b, c = tokens / self.capacity, cost / max(1, self.max_cost), docs / self.max_docs
+        return self.weights[0] * (a * a) + self.weights[1] * (b * b) + self.weights[2] * (c * c)
+
+    def residual(self, bin_: int, size: int) -> float:
+        """The weighted norm of what a container would have left with an item."""
+        return self.norm(self.capacity - self.tokens[bin_] - size, self.max_cost - self.cost[bin_] - size * size, self.max_docs - self.docs[bin_] - 1)
+
+    def _best(self, size: int) -> int | None:
+        """Where the chosen one stands among the open containers."""
+        first = int(self.open[0, : self.n_open].searchsorted(size))
+        tokens, cost, docs = self.open[:3, first : self.n_open]
+        if not len(tokens):
+            return None
+        norms = self.norm(tokens - size, cost - size * size, docs - 1)
+        norms[cost < size * size] = np.inf
+        at = int(norms.argmin())
+        return first + at if norms[at] < np.inf else None
 
     def choose(self, size: int) -> int | None:
-        """The container with the shortest weighted residual vector of all that take the item."""
-        rooms = self.rooms >> size << size
-        while rooms:
-            room = (rooms & -rooms).bit_length() - 1
-            rooms &= rooms - 1
-            same = self.by_room[room]
-            at = bisect_right(same, (self.max_cost - size * size, self.max_docs, 0))
-            if at:
-                return same[at - 1][2]
-        return None
+        """The container with the shortest weighted residual vector of all that take the item; of equals the one with the least token residual."""
+        at = self._best(size)
+        return None if at is None else int(self.open[3, at])
 
     def add(self, item: tuple[int, int, int]) -> None:
         """Put (doc_id, piece, tokens) into a container."""
         size = item[2]
-        bin_ = self.choose(size)
-        if bin_ is None:
+        at = self._best(size)
+        if at is None:
             bin_ = len(self.tokens)
             self.tokens.append(0)
             self.docs.append(0)
             self.cost.append(0)
             self.held.append([])
         else:
-            room = self.capacity - self.tokens[bin_]
-            same = self.by_room[room]
-            del same[bisect_right(same, (self.cost[bin_], self.docs[bin_], bin_)) - 1]
-            if not same:
-                self.rooms &= ~(1 << room)
+            bin_ = int(self.open[3, at])
+            self.open[:, at : self.n_open - 1] = self.open[:, at + 1 : self.n_open]
+            self.n_open -= 1
         self.tokens[bin_] += size
         self.docs[bin_] += 1
         self.cost[bin_] += size * size
         self.held[bin_].append(item)
         room = self.capacity - self.tokens[bin_]
         if room and self.docs[bin_] < self.max_docs and self.cost[bin_] <= self.max_cost:
-            insort(self.by_room[room], (self.cost[bin_], self.docs[bin_], bin_))
-            self.rooms |= 1 << room
+            if self.n_open == self.open.shape[1]:
+                self.open = np.concatenate([self.open, np.zeros_like(self.open)], axis=1)
+            at = int(self.open[0, : self.n_open].searchsorted(room, "right"))
+            self.open[:, at + 1 : self.n_open + 1] = self.open[:, at : self.n_open]
+            self.open[:, at] = room, self.max_cost - self.cost[bin_], self.max_docs - self.docs[bin_], bin_
+            self.n_open += 1
+
+
+def demand(items: list[tuple[int, int, int]], capacity: int, max_docs: int, max_cost: int) -> tuple[float, float, float]:
+    """Containers that the items need at least by each capacity, as shares of their sum: what is scarce weighs more."""
+    need = sum(i[2] for i in items) / capacity, sum(i[2] * i[2] for i in items) / max(1, max_cost), len(items) / max_docs
+    return tuple(x / (sum(need) or 1) for x in need)
 
 
 def pack(items: list[tuple[int, int, int]], capacity: int, max_docs: int | None = None, max_cost: int | None = None) -> list[list[tuple[int, int, int]]]:
     """Containers of (doc_id, piece, tokens) items that are not above the capacity."""
     packed = Containers(capacity, max_docs, max_cost)
+    packed.weights = demand(items, capacity, packed.max_docs, packed.max_cost)
     for item in sorted(items, key=lambda i: (-i[2], i[0], i[1])):
         packed.add(item)
     return packed.held

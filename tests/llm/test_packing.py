@@ -80,6 +80,35 @@ def test_the_shortest_residual_of_all_containers_is_chosen():
             b.add((i, 0, size))
 
 
+def test_all_residuals_weigh():
+    """A container with a little more room of tokens is taken where its attention and documents would be left unused otherwise."""
+    b = P.Containers(100, 10, 10_000)
+    for held in ([80], [26, 26, 26]):
+        b.n_open = 0  # each opens one of its own
+        for i, size in enumerate(held):
+            b.add((i, 0, size))
+    b.n_open = 0
+    for bin_ in (0, 1):  # 20 and 22 tokens of room; 3600 and 7972 of attention
+        b.open[:, bin_] = 100 - b.tokens[bin_], 10_000 - b.cost[bin_], 10 - b.docs[bin_], bin_
+    b.n_open = 2
+    norm = lambda *shares: sum(w * x * x for w, x in zip(b.weights, shares))
+    for bin_, shares in ((0, (0.1, 0.35, 0.8)), (1, (0.12, 0.7872, 0.6))):
+        assert b.residual(bin_, 10) == pytest.approx(norm(*shares))
+    assert b.choose(10) == 0
+    b.weights = (1.0, 0.01, 1.0)
+    assert b.residual(1, 10) < b.residual(0, 10) and b.choose(10) == 1
+
+
+def test_what_is_scarce_weighs_more():
+    items = [(i, 0, 10) for i in range(100)]
+    assert P.demand(items, 100, 100, 10_000) == pytest.approx((10 / 12, 1 / 12, 1 / 12))
+    assert P.demand(items, 100, 5, 1_000)[2] == pytest.approx(20 / 40) and P.demand([], 10, 1, 100) == (0, 0, 0)
+
+
+def test_capacity_beyond_a_list_of_rooms():
+    assert P.pack([(1, 0, 10**9), (2, 0, 5)], 10**10) == [[(1, 0, 10**9), (2, 0, 5)]]
+
+
 DOCS = "doc_id bigint, text string, n_tokens string"
 BUDGETS = "budget_id int, capacity_tokens int, doc_id string"
 
