@@ -93,7 +93,7 @@ def _occurrences(body: str) -> list[tuple[str, int]]:
 
 
 def _golds_and_gots(batches: Iterator[pa.RecordBatch]) -> tuple[list[tuple[str, list]], list[str], dict]:
-    """Golds in order with their token occurrences, ids of the found ones in order, and which of these have an occurrence."""
+    """Golds (place, id, token occurrences) in order, ids of the found ones in order, and which of these have an occurrence."""
     golds, gots = [], []
     for b in batches:
         for ix, key, body in zip(*(b.column(c).to_pylist() for c in ("ix", "id", "body"))):
@@ -108,7 +108,7 @@ def _golds_and_gots(batches: Iterator[pa.RecordBatch]) -> tuple[list[tuple[str,
         for o in _occurrences(body):
             if o in places:
                 places[o].append(at)
-    return [(key, own) for _, key, own in golds], [key for key, _ in gots], {o: np.frombuffer(a, np.int32) for o, a in places.items() if a}
+    return golds, [key for key, _ in gots], {o: np.frombuffer(a, np.int32) for o, a in places.items() if a}
 
 
 def _shared(own: list, places: dict, n: int) -> np.ndarray | None:
@@ -122,7 +122,7 @@ def _match(least: float):
         golds, gots, places = _golds_and_gots(batches)
         free = np.ones(len(gots), bool)
         out = []
-        for gold, own in golds:
+        for _, gold, own in golds:
             shared = _shared(own, places, len(gots))
             if shared is None:
                 continue
@@ -162,24 +162,58 @@ def question_matches(gold: DataFrame, got: DataFrame, least: float = MATCH) -> D
     return _gold_side(gold, one).unionByName(_got_side(got, one)).groupBy("document_id").applyInArrow(_match(least), _MATCHES)
 
 
+_PAIRS = "document_id string, gold_ix string, gold_id string, got_id string, score double"
+_PAIRS_ARROW = pa.schema([(c.split()[0], pa.float64() if c.endswith("double") else pa.string()) for c in _PAIRS.split(", ")])
+#: golds of a document that one group compares with all found questions; the result is given in batches of so many rows
+PAIR_GOLDS, PAIR_ROWS = 500, 50_000
+
+
+def _score(least: float):
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        golds, gots, places = _golds_and_gots(batches)
+        names = pa.array(gots, pa.string())
+        held: list[tuple] = []
+        rows = 0
+
+        def batch() -> pa.RecordBatch:
+            of = np.repeat(np.arange(len(held)), [len(h[2]) for h in held])
+            told = [pa.array([h[i] for h in held], pa.string()).take(pa.array(of)) for i in (0, 1)]
+            at, score = (np.concatenate([h[i] for h in held]) for i in (2, 3))
+            return pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(key[0].as_py(), pa.string()), len(of)), *told, names.take(pa.array(at)), pa.array(score)], schema=_PAIRS_ARROW)
+
+        for ix, gold, own in golds:
+            shared = _shared(own, places, len(gots))
+            if shared is None:
+                continue
+            score = shared / len(own)
+            at = np.flatnonzero(score >= least)
+            if len(at):
+                held.append((ix, gold, at, score[at]))
+                rows += len(at)
+            if rows >= PAIR_ROWS:
+                yield batch()
+                held, rows = [], 0
+        if rows:
+            yield batch()
+
+    return run
+
+
 def question_pairs(gold: DataFrame, got: DataFrame, least: float = MATCH) -> DataFrame:
     """Pairs of a gold and a found question of one document whose texts agree enough, with the token coverage as score.
 
     gold(document_id, gold_ix, gold_id, gold_text), got(document_id, got_id,
-    got_text). A pair that covers enough shares one of the gold's rarest tokens:
-    those that must be among the covered ones, as all others together are too few.
-    So only pairs with such a token in common are compared. Golds without tokens
-    match nothing.
+    got_text); ids are unique in a document. The found questions of a document go
+    to each group of about PAIR_GOLDS of its golds, which looks up the places of
+    each token there; only pairs that agree enough become rows, and no pair of a
+    token with its places does. Golds without tokens match nothing.
     """
-    tokens = lambda df, key, text: df.select("document_id", key, F.explode(T.all_tokens(text)).alias("token")).groupBy("document_id", key, "token").agg(F.count(F.lit(1)).alias("n"))
-    wanted, have = tokens(gold, "gold_id", "gold_text"), tokens(got, "got_id", "got_text")
-    often = have.groupBy("document_id", "token").agg(F.count(F.lit(1)).alias("df"))
-    own = Window.partitionBy("document_id", "gold_id")
-    ranked = wanted.join(often, ["document_id", "token"], "left").withColumn("total", F.sum("n").over(own)).withColumn("so_far", F.sum("n").over(own.orderBy(F.desc(F.coalesce("df", F.lit(0))), "token")))
-    rare = ranked.filter(F.col("so_far") >= least * F.col("total") - 1e-9).select("document_id", "gold_id", "token")
-    pairs = rare.join(have.select("document_id", "token", "got_id"), ["document_id", "token"]).select("document_id", "gold_id", "got_id").distinct()
-    texts = pairs.join(gold, ["document_id", "gold_id"]).join(got, ["document_id", "got_id"])
-    return texts.select("document_id", "gold_ix", "gold_id", "got_id", token_coverage(F.col("gold_text"), F.col("got_text")).alias("score")).filter(F.col("score") >= least)
+    groups = gold.filter("document_id is not null").groupBy("document_id").agg(F.ceil(F.count(F.lit(1)) / PAIR_GOLDS).alias("groups"))
+    golds = _gold_side(gold.join(groups, "document_id"), F.pmod(F.xxhash64("gold_id"), F.col("groups")))
+    gots = _got_side(got.join(groups, "document_id").withColumn("group", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("groups") - 1))), F.col("group"))
+    # the work is in what comes out of the groups, so they are not put together by the size of what goes in
+    parts = int(gold.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return golds.unionByName(gots).repartition(parts, "document_id", "chunk").groupBy("document_id", "chunk").applyInArrow(_score(least), _PAIRS)
 
 
 def gold_metrics(matches: DataFrame, gold: DataFrame, got: DataFrame) -> DataFrame:
